@@ -1,7 +1,6 @@
 """Scalar column expressions. All are built-ins, so they stay inside whole-stage codegen."""
 
 from collections.abc import Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +27,13 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+def literal_map(values: dict) -> Column:
+    """Constant map as one SQL literal: a call per entry would cost more than the query around it."""
+    return F.expr("map(" + ", ".join(f"{k!r}, {v!r}" for k, v in values.items()) + ")")
+
+
 def lookup(values: dict[int, str], key, default: str) -> Column:
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(values.items())])
-    return F.coalesce(F.element_at(pairs, col(key).cast("int")), F.lit(default))
+    return F.coalesce(F.element_at(literal_map(values), col(key).cast("int")), F.lit(default))
 
 
 def season(date) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillcast import fixed_values as fv
 from tillcast.functions.expressions import feature_group
 from tillcast.operators.features import fill_zero, is_train
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.session import cut_lineage
 
 
 def feature_frame(
@@ -40,9 +40,7 @@ def forecast_boosted(
     The feature frame is read by training and by prediction; a checkpoint makes that one
     evaluation, cuts its lineage and survives lost executors. MLlib checkpoints between trees too.
     """
-    frame = feature_frame(df, keys, features, cutoff)
-    if ensure_checkpoint_dir(df.sparkSession):
-        frame = frame.checkpoint()
+    frame = cut_lineage(feature_frame(df, keys, features, cutoff))
     booster = GBTRegressor(
         featuresCol="features",
         labelCol="label",

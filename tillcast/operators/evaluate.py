@@ -32,8 +32,8 @@ def forecast_metrics(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def model_summary(long: DataFrame, titles: dict[str, str] = fv.MODEL_TITLES) -> DataFrame:
     """Comparison table with report titles."""
-    rank = F.create_map(*[F.lit(x) for i, m in enumerate(titles) for x in (m, i + 1)])
-    title = F.create_map(*[F.lit(x) for pair in titles.items() for x in pair])
+    rank = ex.literal_map({model: i for i, model in enumerate(titles, 1)})
+    title = ex.literal_map(titles)
     return forecast_metrics(long).select(
         F.element_at(rank, F.col("model")).alias("position"),
         F.element_at(title, F.col("model")).alias("title"),

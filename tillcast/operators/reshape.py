@@ -27,8 +27,9 @@ def melt_days(
     `unpivot`, which expands every row once per column.
     """
     days = day_columns(df)
-    cells = F.posexplode(F.array(*[F.col(c) for c in days])).alias("pos", value)
-    names = F.array(*[F.lit(c) for c in days])
+    cells = F.posexplode(F.array(*days)).alias("pos", value)
+    # Folds to one literal array; thousands of single literals would be slow to plan.
+    names = F.split(F.lit(" ".join(days)), " ")
     return df.select(*ids, cells).select(*ids, F.get(names, F.col("pos")).alias(var), value)
 
 

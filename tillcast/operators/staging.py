@@ -2,12 +2,19 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillcast.functions.expressions import rounded, safe_date
 
 
+def _date(raw: DataFrame) -> Column:
+    """Raw dates are strings; a DATE column is taken as it is, which also keeps its partitioning."""
+    typed = isinstance(raw.schema["date"].dataType, T.DateType)
+    return F.col("date") if typed else safe_date("date").alias("date")
+
+
 def stg_weather(raw: DataFrame) -> DataFrame:
     """The filter reads the raw columns: an unreadable date string passes it and becomes a NULL
     date, which the not-null test on the result reports."""
@@ -15,7 +22,7 @@ def stg_weather(raw: DataFrame) -> DataFrame:
         F.col("date").isNotNull() & F.col("temperature_max").isNotNull() & F.col("temperature_min").isNotNull()
     )
     return kept.select(
-        safe_date("date").alias("date"),
+        _date(raw),
         "city",
         rounded("temperature_max").alias("temperature_max"),
         rounded("temperature_min").alias("temperature_min"),
@@ -29,5 +36,5 @@ def stg_sales(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     kept = raw.filter(F.col("date").isNotNull() & F.col("units_sold").isNotNull())
     numbers = ["units_sold", "snap_ca", "is_event", "day_of_week"]
     return kept.select(
-        *keys, safe_date("date").alias("date"), *[F.col(c).cast("bigint").alias(c) for c in numbers]
+        *keys, _date(raw), *[F.col(c).cast("bigint").alias(c) for c in numbers]
     )

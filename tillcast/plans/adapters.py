@@ -11,8 +11,9 @@ shuffle key.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillcast.functions.expressions import day_code, flag
+from tillcast.functions.expressions import day_code, flag, literal_map
 from tillcast.operators.reshape import DAY_PREFIX
 
 KEYS = ["store_id"]
@@ -25,8 +26,16 @@ CUTOFF = "2001-01-01"
 CODES = [0, 1, 2, 3, 45, 48, 51, 53, 55, 61, 63, 65, 71, 73, 75, 80, 81, 82, 95, 99]
 
 
+_LAYOUTS: dict[tuple[str, str], T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its layout is read from the files once per application, later scans declare it."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LAYOUTS:
+        _LAYOUTS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_LAYOUTS[key]).parquet(path)
 
 
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +96,7 @@ def _weather_columns(seed: DataFrame) -> DataFrame:
         ((F.col("tmax") - 50 - k % 60) / 10.0).alias("temperature_min"),
         rain.alias("precipitation_sum"),
         ((50 + k % 200) / 10.0).alias("wind_speed_max"),
-        F.get(F.array(*[F.lit(c) for c in CODES]), (k % 20).cast("int")).alias("weather_code"),
+        F.element_at(literal_map(dict(enumerate(CODES))), (k % 20).cast("int")).alias("weather_code"),
     )
 
 

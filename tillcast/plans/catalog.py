@@ -13,6 +13,7 @@ from tillcast.operators import (
 )
 from tillcast.plans import adapters as ad
 from tillcast.plans.adapters import CITY, CUTOFF, KEYS, ON
+from tillcast.session import cut_lineage
 from tillcast.sources import tables
 
 # Trees of the registered boosted models. The operators default to 500; MLlib grows trees one after
@@ -40,11 +41,11 @@ def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 # --- shared inputs ---------------------------------------------------------
 
 def _stg_weather(spark, sf):
-    return staging.stg_weather(ad.weather_daily(spark, sf).withColumn("date", F.col("date").cast("string")))
+    return staging.stg_weather(ad.weather_daily(spark, sf))
 
 
 def _stg_sales(spark, sf):
-    return staging.stg_sales(ad.sales_daily(spark, sf).withColumn("date", F.col("date").cast("string")), KEYS)
+    return staging.stg_sales(ad.sales_daily(spark, sf), KEYS)
 
 
 def _weather(spark, sf):
@@ -55,13 +56,20 @@ def _demand(spark, sf):
     return demand.mart_demand_features(_stg_sales(spark, sf), _weather(spark, sf), KEYS, ON)
 
 
+def _gold(spark, sf):
+    """Both gold tables evaluated once, for queries with several branches over them: the joins of
+    lines, orders and customers are the large part, the tables have a row per place and day."""
+    wx = cut_lineage(_weather(spark, sf))
+    return wx, cut_lineage(demand.mart_demand_features(_stg_sales(spark, sf), wx, KEYS, ON))
+
+
 def _features(spark, sf):
     return features.model_features(_demand(spark, sf), KEYS, CUTOFF)
 
 
-def _forecasts(spark, sf):
+def _forecasts(demand_mart):
     """Test days with the two stand-in forecasts, one column each."""
-    rows = features.drop_warmup(_demand(spark, sf)).withColumns({
+    rows = features.drop_warmup(demand_mart).withColumns({
         "naive_prediction": forecast.last_train_value(KEYS, CUTOFF).cast("double"),
         "lag7_prediction": F.col("sales_lag_7").cast("double"),
     })
@@ -70,21 +78,20 @@ def _forecasts(spark, sf):
     )
 
 
+def _forecast_table(demand_mart):
+    return _forecasts(demand_mart).drop("anomaly_flag")
+
+
 def _long(spark, sf):
-    return forecast.to_long(_forecasts(spark, sf), KEYS, STAND_INS)
+    return forecast.to_long(_forecasts(_demand(spark, sf)), KEYS, STAND_INS)
 
 
-def _context(spark, sf, dates=None):
-    forecasts = _forecasts(spark, sf).drop("anomaly_flag")
-    return recommend.recommendation_context(
-        forecasts, _weather(spark, sf), _demand(spark, sf), KEYS, dates, "lag7_prediction", CITY
-    )
+def _resolved(wx, mart, selection):
+    return recommend.resolve_dates(selection, _forecast_table(mart), wx, mart, KEYS, CITY)
 
 
-def _resolved(spark, sf, selection):
-    return recommend.resolve_dates(
-        selection, _forecasts(spark, sf), _weather(spark, sf), _demand(spark, sf), KEYS, CITY
-    )
+def _context(wx, mart, dates=None):
+    return recommend.recommendation_context(_forecast_table(mart), wx, mart, KEYS, dates, "lag7_prediction", CITY)
 
 
 # --- sales and calendar ----------------------------------------------------
@@ -284,7 +291,7 @@ def forecast_naive(spark, sf):
 
 @query
 def forecast_output(spark, sf):
-    prepared = features.drop_warmup(_demand(spark, sf))
+    prepared = cut_lineage(features.drop_warmup(_demand(spark, sf)))
     week_ago = prepared.select(*KEYS, "date", F.col("sales_lag_7").cast("double").alias("prediction"))
     predictions = [forecast.forecast_naive(prepared, KEYS, CUTOFF), week_ago]
     long = forecast.collect_predictions(prepared, dict(zip(STAND_INS, predictions)), KEYS, CUTOFF)
@@ -332,8 +339,8 @@ def actual_vs_predicted(spark, sf):
 
 
 def _comparison(spark, sf):
-    forecasts = _forecasts(spark, sf).drop("anomaly_flag")
-    return evaluate.forecast_comparison(forecasts, _weather(spark, sf), KEYS, STAND_INS, CITY)
+    wx, mart = _gold(spark, sf)
+    return evaluate.forecast_comparison(_forecast_table(mart), wx, KEYS, STAND_INS, CITY)
 
 
 @query
@@ -348,8 +355,8 @@ def anomaly_days(spark, sf):
 
 @query
 def worst_days(spark, sf):
-    forecasts = _forecasts(spark, sf).drop("anomaly_flag")
-    return evaluate.worst_days(forecasts, _weather(spark, sf), KEYS, "lag7_prediction", city=CITY)
+    wx, mart = _gold(spark, sf)
+    return evaluate.worst_days(_forecast_table(mart), wx, KEYS, "lag7_prediction", city=CITY)
 
 
 # --- trained models --------------------------------------------------------
@@ -401,32 +408,32 @@ def model_comparison(spark, sf):
 
 @query
 def available_dates(spark, sf):
-    return recommend.available_dates(_forecasts(spark, sf))
+    return recommend.available_dates(_forecasts(_demand(spark, sf)))
 
 
 @query
 def dates_anomaly(spark, sf):
-    return _resolved(spark, sf, "Anomaly")
+    return _resolved(*_gold(spark, sf), "Anomaly")
 
 
 @query
 def dates_snap(spark, sf):
-    return _resolved(spark, sf, " snap ")
+    return _resolved(*_gold(spark, sf), " snap ")
 
 
 @query
 def dates_list(spark, sf):
-    return _resolved(spark, sf, DATE_LIST)
+    return _resolved(*_gold(spark, sf), DATE_LIST)
 
 
 @query
 def recommendation_context(spark, sf):
-    return _round(_context(spark, sf), "error_pct")
+    return _round(_context(*_gold(spark, sf)), "error_pct")
 
 
 @query
 def recommendation_prompt(spark, sf):
-    prompts = recommend.headline(recommend.with_prompt(_context(spark, sf)))
+    prompts = recommend.headline(recommend.with_prompt(_context(*_gold(spark, sf))))
     return prompts.select(*KEYS, "date", "prompt", "headline")
 
 
@@ -439,7 +446,8 @@ def stub_answer(prompt: str) -> str:
 
 @query
 def recommendation_generate(spark, sf):
-    prompts = recommend.with_prompt(_context(spark, sf, _resolved(spark, sf, "anomaly")))
+    wx, mart = _gold(spark, sf)
+    prompts = recommend.with_prompt(_context(wx, mart, _resolved(wx, mart, "anomaly")))
     return recommend.generate(prompts, stub_answer, wait=0.0).select(*KEYS, "date", "recommendation")
 
 
@@ -447,11 +455,12 @@ def recommendation_generate(spark, sf):
 
 @query
 def dq_report(spark, sf):
+    wx, mart = _gold(spark, sf)
     inputs = {
         "stg_weather": stg_weather(spark, sf),
         "stg_sales": stg_sales(spark, sf),
-        "mart_weather_daily": _weather(spark, sf),
-        "mart_demand_features": _demand(spark, sf),
+        "mart_weather_daily": wx,
+        "mart_demand_features": mart,
     }
     return quality.run_checks(inputs, quality.standard_tests(KEYS, ["city"]))
 

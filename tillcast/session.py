@@ -3,7 +3,7 @@
 import logging
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOG = logging.getLogger(__name__)
 
@@ -44,3 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> bool:
         folder = tempfile.mkdtemp(prefix="tillcast-checkpoint-")
     context.setCheckpointDir(folder)
     return True
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Evaluates `df` once into the checkpoint folder, for frames that several branches read. Readers
+    then survive lost executors without repeating the work behind it."""
+    return df.checkpoint() if ensure_checkpoint_dir(df.sparkSession) else df

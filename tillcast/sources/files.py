@@ -19,8 +19,6 @@ def read_sales_wide(spark: SparkSession, path: str) -> DataFrame:
         T.StructField(name, T.IntegerType() if name.startswith(DAY_PREFIX) else T.StringType())
         for name in header
     ])
-    # Column pruning in the CSV parser skips malformed unread cells, which is what we want, but a
-    # matrix of thousands of columns also exceeds the parser's default column limit.
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -41,15 +39,17 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_weather_json(spark: SparkSession, path: str, city: str) -> DataFrame:
-    """One row per day out of landed API payloads (one JSON document per file)."""
-    payloads = (
-        spark.read.schema(schemas.WEATHER_PAYLOAD)
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
-    return weather_rows(payloads.withColumn("city", F.lit(city)))
+def read_weather_json(spark: SparkSession, path: str, city: str | None = None) -> DataFrame:
+    """One row per city and day out of landed API payloads, one JSON document per file.
+
+    The payload does not name its city. It is given for a single one; for many, the landing folder is
+    laid out as `city=<name>/` and all of them are read by one job.
+    """
+    schema = schemas.WEATHER_PAYLOAD
+    if city is None:
+        schema = T.StructType(schema.fields + [T.StructField("city", T.StringType())])
+    payloads = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return weather_rows(payloads if city is None else payloads.withColumn("city", F.lit(city)))
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
