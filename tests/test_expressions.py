@@ -1,0 +1,98 @@
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast import fixed_values as fv
+from tillcast.functions import expressions as ex
+
+
+def values(spark, rows, schema, column):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
+
+
+def test_safe_date(spark):
+    rows = [("2016-01-05",), ("2016-1-5",), ("bad",), ("2016",), ("2016-01",), ("2016-13-01",), (None,)]
+    got = values(spark, rows, "d string", ex.safe_date("d"))
+    assert got == [date(2016, 1, 5), date(2016, 1, 5)] + [None] * 5
+
+
+def test_season(spark):
+    rows = [(date(2016, 12, 31),), (date(2016, 3, 1),), (date(2016, 6, 1),), (date(2016, 11, 30),), (None,)]
+    assert values(spark, rows, "d date", ex.season("d")) == ["Winter", "Spring", "Summer", "Fall", None]
+    every = [(date(2015, m, 15),) for m in range(1, 13)]
+    want = ["Winter"] * 2 + ["Spring"] * 3 + ["Summer"] * 3 + ["Fall"] * 3 + ["Winter"]
+    assert values(spark, every, "d date", ex.season("d")) == want
+
+
+def test_weather_label(spark):
+    rows = [(0,), (95,), (99,), (None,)]
+    got = values(spark, rows, "c bigint", ex.weather_label("c"))
+    assert got == ["Clear Sky", "Thunderstorm", "Unknown", "Unknown"]
+    known = values(spark, [(c,) for c in fv.WEATHER_LABELS], "c bigint", ex.weather_label("c"))
+    assert known == list(fv.WEATHER_LABELS.values())
+
+
+def test_flags_at_their_thresholds(spark):
+    assert values(spark, [(35.0,), (35.1,), (None,)], "t double", ex.is_extreme_heat("t")) == [0, 1, 0]
+    assert values(spark, [(10.0,), (10.1,), (None,)], "r double", ex.is_heavy_rain("r")) == [0, 1, 0]
+    assert values(spark, [(8.0,), (8.1,), (None,)], "a double", ex.unseasonable_heat("a")) == [0, 1, 0]
+
+
+def test_shopping_deterrence(spark):
+    rows = [(2.1, 14.9, 61), (2.0, 15.0, 80), (None, 20.0, None), (0.0, 10.0, 3)]
+    schema = "p double, t double, c bigint"
+    assert values(spark, rows, schema, ex.shopping_deterrence("p", "t", "c")) == [4, 0, 0, 2]
+    assert values(spark, rows, schema, ex.shopping_deterrence("p", "t")) == [3, 0, 0, 1]
+
+
+def test_day_of_week(spark):
+    rows = [(date(2016, 5, 21),), (date(2016, 5, 22),), (date(2016, 5, 27),)]
+    assert values(spark, rows, "d date", ex.day_code("d")) == [1, 2, 7]
+    assert values(spark, [(1,), (7,), (8,), (None,)], "c int", ex.day_name("c")) == [
+        "Saturday", "Friday", "Unknown", "Unknown",
+    ]
+
+
+def test_demand_vs_average(spark):
+    rows = [(110.0, 100.0), (110.0, 0.0), (110.0, None)]
+    got = values(spark, rows, "f double, a double", ex.demand_vs_average_pct("f", "a"))
+    assert got == pytest.approx([10.0, 0.0, 0.0])
+
+
+def test_errors_with_zero_actual(spark):
+    rows = [(100, 110.0), (0, 5.0)]
+    assert values(spark, rows, "a bigint, p double", ex.error_pct("a", "p")) == [pytest.approx(10.0), None]
+    assert values(spark, rows, "a bigint, p double", ex.abs_error("a", "p")) == [10.0, 5.0]
+
+
+def test_whole_units_truncates(spark):
+    assert values(spark, [(4293.99,), (-1.9,)], "v double", ex.whole_units("v")) == [4293, -1]
+
+
+def test_fixed_1dp_equals_python(spark):
+    pick = random.Random(7)
+    numbers = [0.0, -0.04, 0.05, 0.15, 0.25, 0.35, 0.45, 0.75, 12.25, -12.25, 12.35, 99.95, -0.05, 1e9 + 0.25]
+    numbers += [round(pick.uniform(-500, 500), 2) for _ in range(3000)]
+    numbers += [pick.uniform(-100, 100) for _ in range(500)]
+    rows = [(n,) for n in numbers]
+    assert values(spark, rows, "v double", ex.fixed_1dp("v", plus=True)) == [f"{n:+.1f}" for n in numbers]
+    assert values(spark, rows, "v double", ex.fixed_1dp("v")) == [f"{n:.1f}" for n in numbers]
+
+
+def test_feature_groups(spark):
+    rows = [("tomorrow_temp",), ("shopping_deterrence",), ("sales_lag_7",), ("is_event",), ("temperature_max",)]
+    got = values(spark, rows, "f string", ex.feature_group("f"))
+    assert got == ["weather", "weather", "sales_calendar", "sales_calendar", "other"]
+
+
+def test_na_tokens(spark):
+    rows = [("NA",), ("",), ("null",), ("SuperBowl",), (None,)]
+    assert values(spark, rows, "e string", ex.null_if_na_token("e")) == [None, None, None, "SuperBowl", None]
+
+
+def test_literal_columns_stay_jvm_side(spark):
+    df = spark.range(3).select(ex.weather_label(F.col("id")), ex.fixed_1dp(F.col("id").cast("double")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -1,0 +1,100 @@
+import json
+import math
+from datetime import date, timedelta
+
+import pytest
+
+from tillcast import fixed_values as fv
+from tillcast.plans.pipeline import Job, run_pipeline
+from tillcast.sources import tables
+
+DAYS = 500
+START = date(2014, 10, 1)
+
+
+def write_inputs(folder, cities):
+    dates = [START + timedelta(i) for i in range(DAYS)]
+    calendar = ["date,wday,event_name_1,snap_CA"]
+    calendar += [
+        f"{d},{(d.weekday() + 2) % 7 + 1},{'Feast' if d.day == 25 else ''},{int(d.day <= 10)}" for d in dates
+    ]
+    (folder / "calendar.csv").write_text("\n".join(calendar))
+    lines = [",".join(["item_id", "store_id", "cat_id", *[f"d_{i + 1}" for i in range(DAYS)]])]
+    for store in ("CA_3", "TX_1"):
+        for cat in ("FOODS", "HOBBIES"):
+            for item in range(3):
+                units = [20 + item + (10 if d.weekday() >= 5 else 0) + i // 100 for i, d in enumerate(dates)]
+                lines.append(",".join([f"{cat}_{item}", store, cat, *map(str, units)]))
+    (folder / "sales.csv").write_text("\n".join(lines))
+    for city in cities:
+        target = folder / "landing" / f"city={city}"
+        target.mkdir(parents=True)
+        heat = [round(20 + 8 * math.sin(i / 58), 1) + (15 if i % 151 == 150 else 0) for i in range(DAYS)]
+        body = {"daily": {
+            "time": [str(d) for d in dates], "temperature_2m_max": heat,
+            "temperature_2m_min": [h - 8 for h in heat],
+            "precipitation_sum": [None if i % 50 == 7 else float(i % 13) for i in range(DAYS)],
+            "wind_speed_10m_max": [5.0] * DAYS, "weather_code": [3] * DAYS,
+        }}
+        (target / "w.json").write_text(json.dumps(body))
+
+
+def test_many_stores_and_cities(spark, tmp_path):
+    write_inputs(tmp_path, ["Los Angeles", "Dallas"])
+    places = spark.createDataFrame([("CA_3", "Los Angeles"), ("TX_1", "Dallas")], "store_id string, city string")
+    job = Job(
+        spark, str(tmp_path / "lake"), str(tmp_path / "sales.csv"), str(tmp_path / "calendar.csv"),
+        str(tmp_path / "landing"), store_city=places, n_trees=3, answer=lambda prompt: "Stock up.",
+    )
+    facts = {f["table"]: f["rows"] for f in run_pipeline(job)}
+    test_days = (START + timedelta(DAYS - 1) - date(2016, 1, 1)).days + 1
+    assert facts["weather_raw.weather_raw_daily"] == 2 * DAYS
+    assert facts["sales_raw.sales_raw_daily"] == 4 * DAYS
+    assert facts["weather_marts.mart_demand_features"] == 4 * DAYS
+    assert facts["weather_marts.mart_forecast_output"] == 4 * test_days
+    assert facts["weather_marts.mart_ai_recommendations"] > 0
+    output = tables.table(spark, "marts", "mart_forecast_output")
+    assert output.columns == ["store_id", "cat_id", "date", "actual_units_sold", *fv.MODEL_TITLES]
+    assert dict(output.dtypes)["date"] == "date"
+    assert output.na.drop().count() == 4 * test_days
+    texts = tables.table(spark, "marts", "mart_ai_recommendations").collect()
+    assert all(r.recommendation == "Stock up." and "Weather anomaly: True" in r.prompt for r in texts)
+    mart = tables.table(spark, "marts", "mart_demand_features")
+    assert mart.filter("temperature_max is null").count() == 0
+    weekend = mart.filter("store_id = 'CA_3' and cat_id = 'FOODS' and date = date'2014-10-04'").first()
+    assert weekend.units_sold == (20 + 21 + 22) + 30 and weekend.snap_ca == 1 and weekend.day_of_week == 1
+
+
+def test_single_series_of_one_city_and_rerun(spark, tmp_path):
+    write_inputs(tmp_path, ["Los Angeles"])
+    job = Job(
+        spark, str(tmp_path / "lake"), str(tmp_path / "sales.csv"), str(tmp_path / "calendar.csv"),
+        str(tmp_path / "landing" / "city=Los Angeles" / "w.json"), city="Los Angeles", series=("CA_3", "FOODS"),
+        n_trees=2,
+    )
+    first = {f["table"]: f for f in run_pipeline(job)}
+    job.written.clear()
+    second = {f["table"]: f for f in run_pipeline(job)}
+    assert first == second
+    assert second["weather_marts.mart_demand_features"]["rows"] == DAYS
+    assert second["weather_staging.stg_sales"]["min_date"] == START
+
+
+def test_broken_input_stops_the_job(spark, tmp_path):
+    write_inputs(tmp_path, ["Los Angeles"])
+    body = json.loads((tmp_path / "landing" / "city=Los Angeles" / "w.json").read_text())
+    body["daily"]["temperature_2m_max"][3] = None
+    path = tmp_path / "w.json"
+    path.write_text(json.dumps(body))
+    job = Job(
+        spark, str(tmp_path / "lake"), str(tmp_path / "sales.csv"), str(tmp_path / "calendar.csv"), str(path),
+        city="Los Angeles",
+    )
+    with pytest.raises(ValueError, match="temperature_max"):
+        run_pipeline(job)
+    # A date landed twice breaks the row-based windows and is stopped at the silver layer.
+    body["daily"]["temperature_2m_max"][3] = 20.0
+    body["daily"]["time"][3] = body["daily"]["time"][2]
+    path.write_text(json.dumps(body))
+    with pytest.raises(ValueError, match="stg_weather.date unique: 1"):
+        run_pipeline(job)

@@ -1,0 +1,89 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast.operators import reshape
+
+WIDE = "item_id string, store_id string, cat_id string, d_1 int, d_2 int, d_3 int, d_4 int"
+ROWS = [
+    ("a", "CA_3", "FOODS", 1, 2, None, 4),
+    ("b", "CA_3", "FOODS", 10, None, None, 40),
+    ("c", "CA_1", "FOODS", 100, 200, 300, 400),
+    ("d", "CA_3", "HOBBIES", 7, 7, 7, 7),
+]
+CALENDAR = "date string, wday int, event_name_1 string, snap_CA int"
+# The fourth day has no calendar row.
+DAYS = [
+    ("2016-01-29", 7, None, 0), ("2016-01-30", 1, "Feast", 1), ("2016-01-31", 2, None, 0),
+]
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    return spark.createDataFrame(ROWS, WIDE)
+
+
+@pytest.fixture(scope="module")
+def calendar(spark):
+    return spark.createDataFrame(DAYS, CALENDAR)
+
+
+def test_melt_keeps_every_cell(wide):
+    long = reshape.melt_days(wide)
+    assert long.columns == ["item_id", "store_id", "d", "units_sold"]
+    assert long.count() == 16
+    assert long.filter("units_sold is null").count() == 3
+    assert long.agg(F.sum("units_sold")).first()[0] == 1 + 2 + 4 + 50 + 1000 + 28
+    got = {r.d: r.units_sold for r in long.filter("item_id = 'a'").collect()}
+    assert got == {"d_1": 1, "d_2": 2, "d_3": None, "d_4": 4}
+
+
+def test_melt_equals_unpivot(wide):
+    plain = wide.unpivot(["item_id", "store_id"], reshape.day_columns(wide), "d", "units_sold")
+    assert reshape.melt_days(wide).exceptAll(plain).count() == 0
+
+
+def test_calendar_key_is_the_position(calendar):
+    got = {r.date: r.d for r in reshape.calendar_with_d(calendar).collect()}
+    assert got == {"2016-01-29": "d_1", "2016-01-30": "d_2", "2016-01-31": "d_3"}
+
+
+@pytest.mark.parametrize("extra", [("2016-02-02", 4, None, 0), ("2016-01-31", 2, None, 0)])
+def test_calendar_with_gap_or_repeat_fails(spark, calendar, extra):
+    broken = calendar.union(spark.createDataFrame([extra], CALENDAR))
+    with pytest.raises(Exception, match="missing or repeated days"):
+        reshape.calendar_with_d(broken).collect()
+
+
+def test_join_keeps_unmatched_days(wide, calendar):
+    joined = reshape.attach_calendar(reshape.melt_days(wide), reshape.calendar_with_d(calendar))
+    assert joined.count() == 16
+    lost = joined.filter("d = 'd_4'")
+    assert lost.count() == 4 and lost.filter("date is not null or is_event <> 0").count() == 0
+    assert {r.is_event for r in joined.filter("d = 'd_2'").collect()} == {1}
+
+
+def test_daily_totals(wide, calendar):
+    foods = reshape.filter_series(wide, "CA_3", "FOODS")
+    got = [tuple(r) for r in reshape.daily_sales(foods, calendar, []).orderBy("date").collect()]
+    # The all-NULL day sums to 0, the day without a calendar row is gone.
+    assert got == [
+        ("2016-01-29", 11, 0, 0, 7), ("2016-01-30", 2, 1, 1, 1), ("2016-01-31", 0, 0, 0, 2),
+    ]
+
+
+def test_summing_before_the_join_changes_nothing(wide, calendar):
+    early = reshape.daily_sales(wide, calendar)
+    joined = reshape.attach_calendar(
+        reshape.melt_days(wide, ["item_id", "store_id", "cat_id"]), reshape.calendar_with_d(calendar)
+    )
+    late = reshape.daily_totals(joined, ["store_id", "cat_id"])
+    assert early.count() == late.count() == 9
+    assert early.exceptAll(late).count() == 0
+
+
+def test_filter_reaches_the_scan(spark, wide, tmp_path):
+    wide.write.parquet(str(tmp_path / "w"))
+    df = reshape.filter_series(spark.read.parquet(str(tmp_path / "w")), "CA_3", "FOODS").select("d_1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(store_id,CA_3)" in plan
+    assert "d_2" not in plan

@@ -4,7 +4,13 @@
 EXTREME_HEAT_ABOVE = 35
 HEAVY_RAIN_ABOVE = 10
 ANOMALY_STDDEVS = 2
-SEASONS = ["Winter", "Spring", "Summer", "Fall"]
+SEASON_MONTHS = {
+    "Winter": [12, 1, 2],
+    "Spring": [3, 4, 5],
+    "Summer": [6, 7, 8],
+    "Fall": [9, 10, 11],
+}
+SEASONS = list(SEASON_MONTHS)
 UNKNOWN_LABEL = "Unknown"
 WEATHER_LABELS = {
     0: "Clear Sky",

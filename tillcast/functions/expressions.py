@@ -22,6 +22,12 @@ def rounded(value, digits: int = 1) -> Column:
     return F.round(col(value).cast("double"), digits)
 
 
+def exact(value) -> Column:
+    """The value as a decimal, for means: sums of doubles such as 20.1 miss exact halves and exact
+    equality by an amount that depends on row order."""
+    return col(value).cast("decimal(18,6)")
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it fails or is NULL."""
     return F.when(condition, 1).otherwise(0)
@@ -38,8 +44,9 @@ def lookup(values: dict[int, str], key, default: str) -> Column:
 
 def season(date) -> Column:
     """Meteorological season; NULL only for a NULL date."""
-    quarter = ((F.month(col(date)) % 12) / 3).cast("int")
-    return F.element_at(F.array(*[F.lit(s) for s in fv.SEASONS]), quarter + 1)
+    month = F.month(col(date))
+    # Not an array lookup: under ANSI, Spark 4.1 marks it as never NULL even for a NULL index.
+    return F.coalesce(*[F.when(month.isin(months), name) for name, months in fv.SEASON_MONTHS.items()])
 
 
 def weather_label(code) -> Column:

@@ -47,7 +47,7 @@ def monthly_baseline(df: DataFrame, keys: Sequence[str], cutoff: str = fv.TRAIN_
     return (
         df.filter(is_train(cutoff))
         .groupBy(*keys, F.month("date").alias("month"))
-        .agg(F.avg("temperature_max").alias("monthly_mean_temp"))
+        .agg(F.avg(ex.exact("temperature_max")).cast("double").alias("monthly_mean_temp"))
     )
 
 
@@ -66,7 +66,8 @@ def add_weather_shocks(
     """
     month = F.month("date")
     if baseline is None:
-        mean = F.avg(F.when(is_train(cutoff), F.col("temperature_max"))).over(by_month(keys))
+        train_temp = F.when(is_train(cutoff), ex.exact("temperature_max"))
+        mean = F.avg(train_temp).over(by_month(keys)).cast("double")
         df = df.withColumns({"month": month, "_mean": mean})
     else:
         means = baseline.withColumnRenamed("monthly_mean_temp", "_mean")

@@ -18,14 +18,14 @@ def temperature_range() -> Column:
 def monthly_stats(df: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     """Mean and sample deviation of the daily maximum per city and month of the year."""
     return df.groupBy(*keys, F.month("date").alias("month")).agg(
-        F.avg("temperature_max").alias("monthly_avg_temp"),
+        F.avg(ex.exact("temperature_max")).cast("double").alias("monthly_avg_temp"),
         F.stddev_samp("temperature_max").alias("monthly_stddev_temp"),
     )
 
 
 def anomaly_flag(keys: Sequence[str] = ("city",)) -> Column:
     """1 when the day is more than two deviations from its month; 0 while the deviation is NULL."""
-    mean = F.avg("temperature_max").over(by_month(keys))
+    mean = F.avg(ex.exact("temperature_max")).over(by_month(keys)).cast("double")
     deviation = F.stddev_samp("temperature_max").over(by_month(keys))
     return ex.flag(F.abs(F.col("temperature_max") - mean) > deviation * fv.ANOMALY_STDDEVS)
 
@@ -42,7 +42,7 @@ def with_labels(df: DataFrame) -> DataFrame:
 
 def with_history(df: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     return df.withColumns({
-        "rolling_avg_temp_7d": rolling_avg("temperature_max", 7, keys),
+        "rolling_avg_temp_7d": rolling_avg(ex.exact("temperature_max"), 7, keys),
         "temp_lag_3": lag_feature("temperature_max", 3, keys),
         "temp_lag_7": lag_feature("temperature_max", 7, keys),
     })

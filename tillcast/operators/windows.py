@@ -31,7 +31,8 @@ def rolling_avg(value, n: int, keys: Sequence[str], digits: int = 1, include_cur
     """Mean of the last `n` rows; shorter at the start of a series. `include_current=False` ends the
     frame one row earlier, for a feature that must not contain its own day."""
     end = 0 if include_current else -1
-    return F.round(F.avg(col(value)).over(by_date(keys).rowsBetween(end - n + 1, end)), digits)
+    mean = F.avg(col(value)).over(by_date(keys).rowsBetween(end - n + 1, end))
+    return F.round(mean, digits).cast("double")
 
 
 def lag_feature(value, n: int, keys: Sequence[str]) -> Column:

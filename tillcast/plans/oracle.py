@@ -93,11 +93,11 @@ CTES = {
     "stg_sales_rows": _stg_sales("sales_days", "date"),
     "weather_base": f"""
         select *, round(temperature_max - temperature_min, 1) as temperature_range,
-               round(avg(temperature_max) over (partition by city order by date nulls first
+               round(avg(cast(temperature_max as decimal(18,6))) over (partition by city order by date nulls first
                      rows between 6 preceding and current row), 1) as rolling_avg_temp_7d,
                lag(temperature_max, 3) over (partition by city order by date nulls first) as temp_lag_3,
                lag(temperature_max, 7) over (partition by city order by date nulls first) as temp_lag_7,
-               avg(temperature_max) over (partition by city, {_MONTH}) as monthly_avg,
+               avg(cast(temperature_max as decimal(18,6))) over (partition by city, {_MONTH}) as monthly_avg,
                stddev_samp(temperature_max) over (partition by city, {_MONTH}) as monthly_dev,
                case when {_MONTH} in (12, 1, 2) then 'Winter' when {_MONTH} in (3, 4, 5) then 'Spring'
                     when {_MONTH} in (6, 7, 8) then 'Summer' when {_MONTH} in (9, 10, 11) then 'Fall' end as season,
@@ -131,7 +131,7 @@ CTES = {
                cast(extract(month from date) as int) as month
         from warm window w as (partition by store_id order by date nulls first)""",
     "train_months": f"""
-        select store_id, cast({_MONTH} as int) as month, avg(temperature_max) as mean_temp
+        select store_id, cast({_MONTH} as int) as month, avg(cast(temperature_max as decimal(18,6))) as mean_temp
         from warm where {_TRAIN} group by all""",
     "deviation": """
         select p.*, p.temperature_max - m.mean_temp as temp_anomaly_from_monthly
@@ -320,7 +320,7 @@ SELECTS = {
     "weather_rolling": "select city, date, rolling_avg_temp_7d from weather_base",
     "weather_lags": "select city, date, temp_lag_3, temp_lag_7 from weather_base",
     "weather_monthly_stats": f"""select city, cast({_MONTH} as int) as month,
-        round(avg(temperature_max), 6) as monthly_avg_temp,
+        round(avg(cast(temperature_max as decimal(18,6))), 6) as monthly_avg_temp,
         round(stddev_samp(temperature_max), 6) as monthly_stddev_temp from stg_weather_rows group by all""",
     "weather_anomaly": "select city, date, anomaly_flag from weather_mart",
     "weather_labels": """select city, date, temperature_range, season, is_extreme_heat, is_heavy_rain,
