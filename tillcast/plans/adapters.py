@@ -9,11 +9,10 @@ split of adaptive execution; line items are summed per order before they meet th
 shuffle key.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.functions.expressions import day_code, flag, literal_map
 from tillcast.operators.reshape import DAY_PREFIX
 
 KEYS = ["store_id"]
@@ -42,61 +41,54 @@ def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    return customer.join(places, customer.c_nationkey == places.n_nationkey).select("c_custkey", "r_name")
+    places = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+    return customer.join(places, F.expr("c_nationkey = n_nationkey")).select("c_custkey", "r_name")
 
 
-def order_date() -> Column:
-    return F.col("o_orderdate").cast("date")
-
-
-def snap_flag(date: Column) -> Column:
-    return flag(F.dayofmonth(date) <= 10)
-
-
-def event_flag() -> Column:
-    return flag((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 7 == 0))
+# Fixed values of the derived inputs, as SQL shared by the readers below.
+DATE = "cast(o_orderdate as date)"
+EVENT = "o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0"
+SNAP = "case when day({0}) <= 10 then 1 else 0 end"
+DAY_CODE = "dayofweek({0}) % 7 + 1"
 
 
 def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_order = (
         load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
     )
-    orders = load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", order_date().alias("date"), event_flag().alias("event")
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", f"{DATE} as date", f"case when {EVENT} then 1 else 0 end as event"
     )
-    sold = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    placed = sold.join(customer_region(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    daily = placed.groupBy(F.col("r_name").alias("store_id"), "date").agg(
-        F.sum("quantity").cast("bigint").alias("units_sold"), F.max("event").alias("is_event")
+    sold = per_order.join(orders, F.expr("l_orderkey = o_orderkey"))
+    placed = sold.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+    daily = placed.groupBy("r_name", "date").agg(
+        F.expr("cast(sum(quantity) as bigint) as units_sold"), F.expr("max(event) as is_event")
     )
-    return daily.select(
-        "store_id", "date", "units_sold", snap_flag(F.col("date")).alias("snap_ca"), "is_event",
-        day_code("date").alias("day_of_week"),
+    return daily.selectExpr(
+        "r_name as store_id", "date", "units_sold", f"{SNAP.format('date')} as snap_ca", "is_event",
+        f"{DAY_CODE.format('date')} as day_of_week",
     )
 
 
 def _weather_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A number `k` per city and day; the remainder keeps its sum far from overflow at any size."""
-    orders = load(spark, sf_dir, "orders").select(
-        "o_custkey", order_date().alias("date"),
-        ((F.col("o_orderkey") * 31 + F.col("o_custkey")) % 1000003).alias("part"),
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_custkey", f"{DATE} as date", "(o_orderkey * 31 + o_custkey) % 1000003 as part"
     )
-    placed = orders.join(customer_region(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    placed = orders.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
     return placed.groupBy(F.col("r_name").alias("city"), "date").agg(F.sum("part").alias("k"))
 
 
 def _weather_columns(seed: DataFrame) -> DataFrame:
-    k = F.col("k")
-    warm = 320 - F.abs(F.month("date") - 7) * 25 + (k % 81) - 40 + F.when(k % 61 == 0, 130).otherwise(0)
-    rain = F.when(k % 5 == 0, (k % 250) / 10.0).when(k % 97 != 0, F.lit(0.0))
-    return seed.withColumn("tmax", warm.cast("bigint")).select(
+    warm = "320 - abs(month(date) - 7) * 25 + (k % 81) - 40 + case when k % 61 = 0 then 130 else 0 end"
+    codes = ", ".join(f"{i}, {code}" for i, code in enumerate(CODES))
+    return seed.selectExpr("*", f"cast({warm} as bigint) as tmax").selectExpr(
         "k", "city", "date",
-        (F.col("tmax") / 10.0).alias("temperature_max"),
-        ((F.col("tmax") - 50 - k % 60) / 10.0).alias("temperature_min"),
-        rain.alias("precipitation_sum"),
-        ((50 + k % 200) / 10.0).alias("wind_speed_max"),
-        F.element_at(literal_map(dict(enumerate(CODES))), (k % 20).cast("int")).alias("weather_code"),
+        "tmax / 10.0D as temperature_max",
+        "(tmax - 50 - k % 60) / 10.0D as temperature_min",
+        "case when k % 5 = 0 then (k % 250) / 10.0D when k % 97 <> 0 then 0.0D end as precipitation_sum",
+        "(50 + k % 200) / 10.0D as wind_speed_max",
+        f"map({codes})[cast(k % 20 as int)] as weather_code",
     )
 
 
@@ -106,25 +98,20 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date strings with unreadable, partial and missing ones; some missing temperatures."""
-    k = F.col("k")
-    text = F.date_format("date", "yyyy-MM-dd")
-    broken = (
-        F.when(k % 101 == 0, "bad").when(k % 103 == 0, "2016").when(k % 107 == 0, None).otherwise(text)
+    return _weather_columns(_weather_seed(spark, sf_dir)).selectExpr(
+        "case when k % 101 = 0 then 'bad' when k % 103 = 0 then '2016' when k % 107 = 0 then null "
+        "else date_format(date, 'yyyy-MM-dd') end as date",
+        "city", "temperature_max", "case when k % 109 <> 0 then temperature_min end as temperature_min",
+        "precipitation_sum", "wind_speed_max", "weather_code",
     )
-    rows = _weather_columns(_weather_seed(spark, sf_dir))
-    return rows.withColumns({
-        "date": broken,
-        "temperature_min": F.when(k % 109 != 0, F.col("temperature_min")),
-    }).drop("k")
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = F.col("units_sold")
-    text = F.date_format("date", "yyyy-MM-dd")
-    return sales_daily(spark, sf_dir).select(
+    return sales_daily(spark, sf_dir).selectExpr(
         "store_id",
-        F.when(units % 101 == 0, "bad").when(units % 103 == 0, None).otherwise(text).alias("date"),
-        F.when(units % 97 != 0, units).alias("units_sold"),
+        "case when units_sold % 101 = 0 then 'bad' when units_sold % 103 = 0 then null "
+        "else date_format(date, 'yyyy-MM-dd') end as date",
+        "case when units_sold % 97 <> 0 then units_sold end as units_sold",
         "snap_ca", "is_event", "day_of_week",
     )
 
@@ -132,20 +119,19 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item x day matrix: an item is a return flag and line number, a day the day of the year."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_quantity")
-    orders = load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey",
-        F.concat(F.lit(DAY_PREFIX), F.dayofyear(order_date()).cast("string")).alias("d"),
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", f"concat('{DAY_PREFIX}', dayofyear({DATE})) as d"
     )
-    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    placed = sold.join(customer_region(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    sold = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+    placed = sold.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
     return (
         placed.groupBy(
-            F.concat_ws("_", "l_returnflag", "l_linenumber").alias("item_id"),
-            F.col("r_name").alias("store_id"),
-            F.col("l_returnflag").alias("cat_id"),
+            F.expr("concat_ws('_', l_returnflag, l_linenumber) as item_id"),
+            F.expr("r_name as store_id"),
+            F.expr("l_returnflag as cat_id"),
         )
         .pivot("d", [f"{DAY_PREFIX}{n}" for n in range(1, 367)])
-        .agg(F.sum("l_quantity").cast("int"))
+        .agg(F.expr("cast(sum(l_quantity) as int)"))
     )
 
 
@@ -157,28 +143,24 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = (
         load(spark, sf_dir, "orders")
-        .filter(event_flag() == 1)
-        .groupBy(F.month(order_date()).alias("m"), F.dayofmonth(order_date()).alias("dom"))
+        .filter(EVENT)
+        .groupBy(F.expr(f"month({DATE}) as m"), F.expr(f"day({DATE}) as dom"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    joined = days.join(events, (F.month("day") == F.col("m")) & (F.dayofmonth("day") == F.col("dom")), "left")
-    return joined.select(
-        F.date_format("day", "yyyy-MM-dd").alias("date"),
-        day_code("day").alias("wday"),
-        F.when(F.col("orders").isNotNull(), F.lit("Event")).alias("event_name_1"),
-        snap_flag(F.col("day")).alias("snap_CA"),
+    return days.join(events, F.expr("month(day) = m and day(day) = dom"), "left").selectExpr(
+        "date_format(day, 'yyyy-MM-dd') as date",
+        f"{DAY_CODE.format('day')} as wday",
+        "case when orders is not null then 'Event' end as event_name_1",
+        f"{SNAP.format('day')} as snap_CA",
     )
 
 
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API-shaped JSON text per city and year: parallel arrays of at most 366 days."""
-    day = F.struct(
-        F.date_format("date", "yyyy-MM-dd").alias("time"),
-        F.col("temperature_max").alias("temperature_2m_max"),
-        F.col("temperature_min").alias("temperature_2m_min"),
-        "precipitation_sum",
-        F.col("wind_speed_max").alias("wind_speed_10m_max"),
-        "weather_code",
+    day = F.expr(
+        "struct(date_format(date, 'yyyy-MM-dd') as time, temperature_max as temperature_2m_max, "
+        "temperature_min as temperature_2m_min, precipitation_sum, wind_speed_max as wind_speed_10m_max, "
+        "weather_code)"
     )
     names = [
         "time", "temperature_2m_max", "temperature_2m_min", "precipitation_sum", "wind_speed_10m_max",

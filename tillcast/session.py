@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture on every column call makes building a plan take longer than small queries run.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
