@@ -27,6 +27,17 @@ def test_conform(spark):
         quality.conform(text, schemas.BRONZE_SALES).collect()
 
 
+def test_conform_refuses_fractions(spark):
+    schema = schemas.BRONZE_WEATHER
+    rows = [("2016-01-01", "LA", 1.0, 0.0, None, None, code) for code in (3.0, None)]
+    names = "date string, city string, temperature_max double, temperature_min double, precipitation_sum double, wind_speed_max double, weather_code double"
+    out = quality.conform(spark.createDataFrame(rows, names), schema)
+    assert sorted(r.weather_code or 0 for r in out.collect()) == [0, 3]
+    broken = spark.createDataFrame([rows[0][:6] + (3.5,)], names)
+    with pytest.raises(Exception, match="weather_code has a fraction"):
+        quality.conform(broken, schema).collect()
+
+
 def test_single_checks(spark):
     df = spark.createDataFrame(
         [("a", "Winter"), ("a", None), (None, "Monsoon"), (None, "Fall"), ("b", "Fall")], "k string, season string"

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,13 +36,22 @@ def guard_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns(guarded)
 
 
+def _strict_cast(name: str, source: T.DataType, target: T.DataType) -> Column:
+    """ANSI casts fail on bad text and overflow, but cut fractions; here a fraction is an error too."""
+    value = F.col(name).cast(target)
+    if isinstance(source, T.FractionalType) and isinstance(target, T.IntegralType):
+        broken = F.raise_error(F.lit(f"column {name} has a fraction"))
+        value = F.when(F.col(name).isNull() | (value == F.col(name)), value).otherwise(broken.cast(target))
+    return value.alias(name)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Declared columns in declared order and type. A missing column or a bad cast is an error,
+    """Declared columns in declared order and type. A missing column or a lossy cast is an error,
     extra columns are dropped."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[_strict_cast(f.name, df.schema[f.name].dataType, f.dataType) for f in schema.fields])
 
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:

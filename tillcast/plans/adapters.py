@@ -119,20 +119,18 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item x day matrix: an item is a return flag and line number, a day the day of the year."""
     lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_quantity")
-    orders = load(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey", f"concat('{DAY_PREFIX}', dayofyear({DATE})) as d"
-    )
+    orders = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", f"dayofyear({DATE}) as day")
     sold = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
     placed = sold.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
-    return (
-        placed.groupBy(
-            F.expr("concat_ws('_', l_returnflag, l_linenumber) as item_id"),
-            F.expr("r_name as store_id"),
-            F.expr("l_returnflag as cat_id"),
-        )
-        .pivot("d", [f"{DAY_PREFIX}{n}" for n in range(1, 367)])
+    numbers = range(1, 367)
+    # Names are put together after the sums, not per line item.
+    matrix = (
+        placed.groupBy("l_returnflag", "l_linenumber", "r_name")
+        .pivot("day", list(numbers))
         .agg(F.expr("cast(sum(l_quantity) as int)"))
     )
+    ids = ["concat_ws('_', l_returnflag, l_linenumber) as item_id", "r_name as store_id", "l_returnflag as cat_id"]
+    return matrix.selectExpr(*ids, *[f"`{n}` as {DAY_PREFIX}{n}" for n in numbers])
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ from tillcast import schemas
 from tillcast.operators import demand, evaluate, features, forecast, quality, recommend, reshape, staging, weather
 from tillcast.sources import files, tables
 
+CITY = ["city"]
+
 
 @dataclass(frozen=True)
 class Job:
@@ -47,8 +49,8 @@ class Job:
     def table(self, layer: str, name: str) -> DataFrame:
         return tables.table(self.spark, layer, name)
 
-    def save(self, df: DataFrame, layer: str, name: str) -> None:
-        self.written.append(tables.materialize(df, layer, name))
+    def save(self, df: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:
+        self.written.append(tables.materialize(df, layer, name, sort_by=[*keys, "date"]))
 
     def placed(self, df: DataFrame) -> DataFrame:
         """`df` with the city of each store."""
@@ -74,7 +76,7 @@ def ingest_weather(job: Job) -> None:
 
 def load_weather(job: Job) -> None:
     bronze = files.read_bronze(job.spark, weather_bronze_path(job), schemas.RAW_WEATHER)
-    job.save(quality.conform(bronze, schemas.RAW_WEATHER), "weather_raw", "weather_raw_daily")
+    job.save(quality.conform(bronze, schemas.RAW_WEATHER), "weather_raw", "weather_raw_daily", CITY)
 
 
 def ingest_sales(job: Job) -> None:
@@ -91,26 +93,28 @@ def ingest_sales(job: Job) -> None:
 def load_sales(job: Job) -> None:
     schema = schemas.keyed(schemas.RAW_SALES, job.keys)
     bronze = files.read_bronze(job.spark, files.bronze_sales_path(job.root, "daily"), schema)
-    job.save(quality.conform(bronze, schema), "sales_raw", "sales_raw_daily")
+    job.save(quality.conform(bronze, schema), "sales_raw", "sales_raw_daily", job.keys)
 
 
 def _require(job: Job, layer: str, names: Sequence[str]) -> None:
-    tests = quality.standard_tests(job.keys, ["city"])
+    tests = quality.standard_tests(job.keys, CITY)
     quality.require_checks(quality.run_checks({n: job.table(layer, n) for n in names}, tests))
 
 
 def build_silver(job: Job) -> None:
-    job.save(staging.stg_weather(job.table("weather_raw", "weather_raw_daily")), "staging", "stg_weather")
-    job.save(staging.stg_sales(job.table("sales_raw", "sales_raw_daily"), job.keys), "staging", "stg_sales")
+    weather_rows = staging.stg_weather(job.table("weather_raw", "weather_raw_daily"))
+    job.save(weather_rows, "staging", "stg_weather", CITY)
+    sales_rows = staging.stg_sales(job.table("sales_raw", "sales_raw_daily"), job.keys)
+    job.save(sales_rows, "staging", "stg_sales", job.keys)
     _require(job, "staging", ["stg_weather", "stg_sales"])
 
 
 def build_gold(job: Job) -> None:
-    job.save(weather.mart_weather_daily(job.table("staging", "stg_weather")), "marts", "mart_weather_daily")
+    job.save(weather.mart_weather_daily(job.table("staging", "stg_weather")), "marts", "mart_weather_daily", CITY)
     mart = demand.mart_demand_features(
         job.placed(job.table("staging", "stg_sales")), job.table("marts", "mart_weather_daily"), job.keys
     )
-    job.save(mart, "marts", "mart_demand_features")
+    job.save(mart, "marts", "mart_demand_features", job.keys)
     _require(job, "marts", ["mart_weather_daily", "mart_demand_features"])
 
 
@@ -130,9 +134,9 @@ def build_recommendations(job: Job) -> None:
     dates = recommend.resolve_dates(job.selection, forecasts, wx, mart, job.keys)
     context = recommend.recommendation_context(forecasts, wx, mart, job.keys, dates)
     texts = recommend.generate(recommend.with_prompt(context), job.answer, job.retries, job.wait)
-    job.save(
-        texts.select(*job.keys, "date", "prompt", "recommendation"), "marts", "mart_ai_recommendations"
-    )
+    texts = texts.select(*job.keys, "date", "prompt", "recommendation")
+    # Sorting runs after the calls, so it cannot repeat one.
+    job.save(texts, "marts", "mart_ai_recommendations", job.keys)
 
 
 def run_pipeline(job: Job) -> list[dict]:
