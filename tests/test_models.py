@@ -106,3 +106,45 @@ def test_all_models_side_by_side(history):
     }
     assert long.filter("predicted is null").count() == 0
     assert [r.title for r in evaluate.model_summary(long).orderBy("position").collect()] == list(fv.MODEL_TITLES.values())
+
+
+def test_seasonal_equals_a_fit_on_a_design_built_by_hand(history):
+    """The same series outside Spark: time scale, change points, Fourier terms, standardised regressors."""
+    rows = history.filter("store_id = 't'").orderBy("date").toPandas()
+    day = np.array([(d - date(1970, 1, 1)).days for d in rows["date"]], float)
+    train = np.array([d < date(2015, 1, 1) for d in rows["date"]])
+    time = (day - day[train].min()) / (day[train].max() - day[train].min())
+    trend_x = np.column_stack(
+        [np.ones_like(time), time] + [np.maximum(time - 0.8 * j / 25, 0) for j in range(1, 26)]
+    )
+    waves = []
+    for period, order in ((7.0, 3), (365.25, 10)):
+        for n in range(1, order + 1):
+            waves += [np.sin(2 * np.pi * n * day / period), np.cos(2 * np.pi * n * day / period)]
+    for name in fv.WEATHER_REGRESSORS:
+        x = rows[name].to_numpy(float)
+        spread = x[train].std(ddof=1)
+        waves.append((x - x[train].mean()) / spread if spread > 0 else np.zeros_like(x))
+    effect_x = np.column_stack(waves)
+    y = rows["units_sold"].to_numpy(float)
+    scale = y[train].max()
+    trend, effects = seasonal.fit_series(y[train] / scale, trend_x[train], effect_x[train])
+    want = (trend_x @ trend * scale * (1 + effect_x @ effects))[~train]
+    got = (
+        seasonal.forecast_seasonal(history, KEYS, CUTOFF, fv.WEATHER_REGRESSORS)
+        .filter("store_id = 't'").orderBy("date").toPandas()
+    )
+    assert list(got["date"]) == list(rows["date"][~train])
+    assert got["prediction"].to_numpy() == pytest.approx(want, rel=1e-6)
+
+
+def test_boosted_predictions_belong_to_their_rows(history):
+    from pyspark.ml.linalg import Vectors
+
+    predictions, model = boosted.forecast_boosted(history, KEYS, fv.WEATHER_FEATURES, CUTOFF, n_trees=3)
+    got = {(r.store_id, r.date): r.prediction for r in predictions.collect()}
+    rows = history.filter(~features.is_train(CUTOFF)).collect()
+    assert len(got) == len(rows)
+    for r in rows[::37]:
+        vector = Vectors.dense([float(r[f] or 0) for f in fv.WEATHER_FEATURES])
+        assert got[(r.store_id, r.date)] == pytest.approx(model.predict(vector))

@@ -215,6 +215,14 @@ def sales_rolling(spark, sf):
     )
 
 
+@query
+def sales_rolling_known(spark, sf):
+    """Means that end the day before, the variant a real forecast could use."""
+    return demand.with_sales_rolling(_stg_sales(spark, sf), KEYS, include_current=False).select(
+        *KEYS, "date", "sales_rolling_avg_7d", "sales_rolling_avg_14d"
+    )
+
+
 @query
 def mart_demand_features(spark, sf):
     return _demand(spark, sf)

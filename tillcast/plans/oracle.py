@@ -329,6 +329,12 @@ SELECTS = {
     "demand_join": "select * from joined_rows",
     "sales_lags": "select store_id, date, sales_lag_7, sales_lag_14 from demand_mart",
     "sales_rolling": "select store_id, date, sales_rolling_avg_7d, sales_rolling_avg_14d from demand_mart",
+    "sales_rolling_known": """select store_id, date,
+        round(avg(units_sold) over (partition by store_id order by date nulls first
+              rows between 7 preceding and 1 preceding), 1) as sales_rolling_avg_7d,
+        round(avg(units_sold) over (partition by store_id order by date nulls first
+              rows between 14 preceding and 1 preceding), 1) as sales_rolling_avg_14d
+        from stg_sales_rows""",
     "mart_demand_features": "select * from demand_mart",
     "features_lead": """select store_id, date, tomorrow_temp, tomorrow_precipitation, tomorrow_extreme_heat,
         tomorrow_heavy_rain, round(temp_change_3d, 6) as temp_change_3d from prepared""",
