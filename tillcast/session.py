@@ -1,12 +1,12 @@
-"""Session settings and the checkpoint folder."""
+"""Session settings, the checkpoint folder and the folder for tables between two steps."""
 
-import logging
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-LOG = logging.getLogger(__name__)
-
 # Runtime re-planning picks broadcast joins by measured size, splits skewed join partitions and
 # sizes shuffle partitions; the fixed UTC zone keeps calendar days stable.
 SETTINGS = {
@@ -29,26 +29,35 @@ def get_spark(app_name: str, master: str | None = None, **settings) -> SparkSess
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> bool:
-    """True when checkpoints can be written.
-
-    The folder is the one the session names in `spark.checkpoint.dir`. Only a local session that
-    names none gets a temporary folder: on a cluster a machine-local one would die with its machine.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return True
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the session names in `spark.checkpoint.dir`. A session inside one process
+    (`local[...]`) that names none gets a temporary folder, removed at exit; on a cluster that would be lost
+    with its machine, so there the setting is required."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            LOG.warning("spark.checkpoint.dir is not set; long lineages are not cut")
-            return False
-        folder = tempfile.mkdtemp(prefix="tillcast-checkpoint-")
-    context.setCheckpointDir(folder)
-    return True
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="tillcast-checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(checkpoint_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Evaluates `df` once into the checkpoint folder, for frames that several branches read. Readers
     then survive lost executors without repeating the work behind it."""
-    return df.checkpoint() if ensure_checkpoint_dir(df.sparkSession) else df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the checkpoint folder, for tables that one step writes and the next reads."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
