@@ -1,6 +1,6 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
-from tillcast.llm import exact_dedup, simhash
+from tillcast.llm import exact_dedup, line_quality, mixing, packing, simhash
 from tillcast.llm.common import table
 
 QUERIES = {}
@@ -19,3 +19,18 @@ def op4_exact_dedup(spark, sf_dir):
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_line_quality(spark, sf_dir):
+    return line_quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_vector_best_fit(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_soft_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
