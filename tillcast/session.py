@@ -34,21 +34,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     (`local[...]`) that names none gets a temporary folder, removed at exit; on a cluster that would be lost
     with its machine, so there the setting is required."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
+    context = spark.sparkContext
+    if folder or context.getCheckpointDir():
+        return folder or context.getCheckpointDir()
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="tillcast-checkpoint-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
     return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_folder(spark))
+    folder = checkpoint_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
