@@ -1,9 +1,9 @@
 """Mixing documents to target weights by soft membership, in DataFrame operations only.
 
-1. A labelled table trains a Bernoulli naive Bayes classifier: its domains are "toxic", "low" (quality 0) and
-   "clean"; features are hashed words, hashed word beginnings, and bins of length and repetition.
-   It learns from at most `labelled_rows` labelled documents (those with the smallest hashes) and keeps the
-   `features` buckets that depend most on the domain. Every document gets domain posteriors.
+1. A labelled table trains a naive Bayes classifier over what is present: its domains are "toxic", "low"
+   (quality 0) and "clean"; features are hashed words, hashed word beginnings, and bins of length and
+   repetition. What is absent says nothing, so short texts and rare languages stay near the prior. It learns from at most `labelled_rows` labelled documents (those with the smallest hashes) and keeps the
+   `features` buckets that depend most, and clearly (chi-square of STRENGTH a document), on the domain. Every document gets domain posteriors.
 2. Rates. With tokens n_i (words), posteriors p_id, domain totals T_d = sum n_i p_id and targets t_d, projected
    gradient descent minimises sum_d (sum_i r_i n_i p_id - t_d)^2 / T_d over rates r_i >= 0, from r_i = 1. In the
    metric that weighs documents by n_i its steps are
@@ -30,8 +30,8 @@ DOMAINS = ("clean", "low", "toxic")
 TARGETS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
 LABELLED_ROWS = 20_000
 FEATURES = 2_000
-BUCKETS = 1 << 18
-SMOOTHING = 0.5
+SMOOTHING = 10.0
+STRENGTH = 1.0
 STEPS = 40
 CLOSE = 1e-4
 _WORDS = r"[\x20\x09-\x0D]+"
@@ -53,14 +53,14 @@ def _featured(docs: DataFrame, *columns: str) -> DataFrame:
         F.concat(F.lit("  length "), F.floor(F.log2(F.col("tokens") + 1)).cast("string")),
         F.concat(F.lit("  repeats "), F.floor(10 * F.size("words") / F.greatest("tokens", F.lit(1))).cast("string")),
     )
-    bucket = F.transform(F.concat("words", starts, bins), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)))
+    bucket = F.transform(F.concat("words", starts, bins), lambda w: F.xxhash64(w))
     some = F.when(F.col("tokens") > 0, F.array_distinct(bucket))
     return counted.select(*columns, "tokens", F.explode_outer(some).alias("bucket"))
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
     """The classifier: `bucket` and for each domain the gain in log-likelihood if the bucket is present; the
-    row with bucket null has the gains of a document without any."""
+    row with bucket null has the domains' logarithmic priors."""
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), domain().alias("domain"))
     sample = cut_lineage(
         known.filter("domain is not null and label_id is not null").groupBy("label_id").agg(F.min("domain").alias("domain"))
@@ -75,12 +75,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     per = sample.join(docs.select(F.col("doc_id").cast("long").alias("label_id")).distinct(), "label_id", "left_semi")
     totals = {d: n or 0.0 for d, n in zip(DOMAINS, per.agg(*[of[d] for d in DOMAINS]).first())}
     rows_all = sum(totals.values())
-    prior = {d: (totals[d] + SMOOTHING) / (rows_all + SMOOTHING * len(DOMAINS)) for d in DOMAINS}
-    if not rows_all:
-        prior = {d: 1 / len(DOMAINS) for d in DOMAINS}
-
-    def share(d):
-        return (F.col(d) + SMOOTHING) / (totals[d] + 2 * SMOOTHING)
+    prior = {d: (totals[d] + 1) / (rows_all + len(DOMAINS)) for d in DOMAINS}
 
     # How far the domains' counts are from what the bucket's total would give (chi-square).
     held = sum((F.col(d) for d in DOMAINS), F.lit(0.0))
@@ -88,12 +83,18 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     for d in DOMAINS:
         expected = held * (totals[d] / max(rows_all, 1.0))
         apart = apart + F.when(expected > 0, (F.col(d) - expected) * (F.col(d) - expected) / expected).otherwise(0.0)
-    chosen = cut_lineage(counts.orderBy(apart.desc(), "bucket").limit(features))
-    present = chosen.select("bucket", *[(F.log(share(d)) - F.log1p(-share(d))).alias(d) for d in DOMAINS])
-    absent = chosen.agg(*[
-        (F.coalesce(F.sum(F.log1p(-share(d))), F.lit(0.0)) + F.log(F.lit(prior[d]))).alias(d) for d in DOMAINS
-    ]).select(F.lit(None).cast("long").alias("bucket"), *DOMAINS)
-    return present.unionByName(absent)
+    # Hundreds of faint features of a text are not independent and would drown the clear ones.
+    clear = counts.filter(apart >= STRENGTH * held)
+    chosen = cut_lineage(clear.orderBy(apart.desc(), "bucket").limit(features))
+    # log P(domain | bucket) / P(domain); SMOOTHING documents of the prior keep rare buckets from deciding.
+    gains = chosen.select("bucket", *[
+        F.log((F.col(d) + SMOOTHING * prior[d]) / (held + SMOOTHING) / prior[d]).alias(d) for d in DOMAINS
+    ])
+    return gains.unionByName(
+        docs.sparkSession.range(1).select(
+            F.lit(None).cast("long").alias("bucket"), *[F.log(F.lit(prior[d])).alias(d) for d in DOMAINS]
+        )
+    )
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
@@ -110,9 +111,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
         .groupBy("row", "doc_id", "source", "tokens")
         .agg(*[(F.coalesce(F.sum(f"gain_{d}"), F.lit(0.0)) + F.lit(base[d])).alias(d) for d in DOMAINS])
     )
-    prior = {d: F.when(F.col("tokens") > 0, F.col(d)) for d in DOMAINS}
     most = F.greatest(*[F.col(d) for d in DOMAINS])
-    powers = {d: F.exp(F.coalesce(prior[d], F.lit(base[d])) - most) for d in DOMAINS}
+    powers = {d: F.exp(F.col(d) - most) for d in DOMAINS}
     every = sum(powers.values(), F.lit(0.0))
     return cut_lineage(found.select("doc_id", "source", "tokens", *[(powers[d] / every).alias(f"p_{d}") for d in DOMAINS]))
 

@@ -15,6 +15,7 @@ Defined results: a null or empty text is one piece that holds the end id alone.
 their own. Empty tables give empty tables. `doc_id` is returned as it comes, null included.
 """
 
+import os
 import zlib
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import WordCache, map_rows
+from tillcast.llm.common import map_rows
 from tillcast.session import cut_lineage
 
 LENGTH = 2048
@@ -43,18 +44,76 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit numbers. Words of letters are encoded many at a time, and an
+    ASCII word's capitals and closing punctuation do not make it a new word: this tokenizer lowers case and
+    always cuts between a letter and a sign. To be emptied at `most` words."""
+
+    SIGNS = ".,;:!?*#$%&"
+
+    def __init__(self, tokenizer, most: int = 400_000):
+        super().__init__()
+        self.tokenizer, self.most = tokenizer, most
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _ids(self, text):
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, dtype="<u4")
+
+    def _add_letters(self, words):
+        """Each of these words is one token group, whose last id is marked as a word's end."""
+        ids = self._ids(" ".join(words))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words):
+            data = ids.tobytes()
+            bounds = (4 * stops).tolist()
+            for word, start, stop in zip(words, [0, *bounds], bounds):
+                self[word] = data[start:stop]
+        else:
+            for word in words:
+                self[word] = self._ids(word).tobytes()
+
+    def _base(self, word):
+        stem = word.rstrip(self.SIGNS)
+        last = stem[-1:]
+        # Beyond Latin, or as in "İ", normalising can end a letter in a mark that joins the signs.
+        if "<" in word or not (last < "\u0250" and last.lower().isalpha()):
+            stem = word
+        return (stem.lower() if stem.isascii() and stem.isalpha() else stem), word[len(stem):]
+
+    def add(self, words):
+        parts = {word: self._base(word) for word in words}
+        missing = {piece for pair in parts.values() for piece in pair if piece and piece not in self}
+        letters = [w for w in missing if w.isalpha()]
+        if letters:
+            self._add_letters(letters)
+        for word in missing.difference(letters):
+            self[word] = self._ids(word).tobytes()
+        self[""] = b""
+        for word, (stem, signs) in parts.items():
+            self[word] = self[stem] + self[signs]
+
+
 def word_encoder(model: bytes):
-    """Function from a text to its ids as little-endian 32-bit numbers. This tokenizer drops white space
-    and no token, special or not, spans it, so the ids of a text are those of its parts between spaces."""
+    """Function from a text to its ids as bytes. This tokenizer drops white space and no token, special or
+    not, spans it, so the ids of a text are those of its parts between spaces."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_buffer(model)
+    ids = WordIds(Tokenizer.from_buffer(model))
 
-    def encode(word):
-        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes() if word else b""
+    def encode(text):
+        words = text.replace("\n", " ").split(" ")
+        if len(ids) > ids.most:
+            ids.clear()
+        new = [word for word in set(words) if word not in ids]
+        if new:
+            ids.add(new)
+        return b"".join(map(ids.__getitem__, words))
 
-    ids = WordCache(encode)
-    return lambda text: b"".join(map(ids.__getitem__, text.replace("\n", " ").split(" ")))
+    return encode
 
 
 def pieces(docs: DataFrame, model: bytes, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -116,8 +175,10 @@ def _pack_shard(capacity, weights, fit):
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "row"], ascending=[False, True], ignore_index=True)
         lengths = frame["length"].to_numpy(np.int64)
-        ways = ("norm", "dot") if fit == "fewest" else (fit,)
-        bins, offsets, _ = min((vector_best_fit(lengths, capacity, weights, way) for way in ways), key=lambda x: x[2])
+        bins, offsets, opened = vector_best_fit(lengths, capacity, weights, "norm" if fit == "fewest" else fit)
+        if fit == "fewest" and opened > -(-lengths.sum() // int(capacity[0])):  # else no packing has fewer
+            other = vector_best_fit(lengths, capacity, weights, "dot")
+            bins, offsets, _ = min((bins, offsets, opened), other, key=lambda x: x[2])
         frame["sequence_id"] = (frame["shard"].to_numpy(np.int64) << 32) + bins
         frame["offset"] = offsets
         return frame[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
