@@ -51,7 +51,7 @@ class WordIds(dict):
 
     SIGNS = ".,;:!?*#$%&"
 
-    def __init__(self, tokenizer, most: int = 400_000):
+    def __init__(self, tokenizer, most: int = 600_000):
         super().__init__()
         self.tokenizer, self.most = tokenizer, most
         vocabulary = tokenizer.get_vocab()
@@ -75,25 +75,28 @@ class WordIds(dict):
             for word in words:
                 self[word] = self._ids(word).tobytes()
 
-    def _base(self, word):
-        stem = word.rstrip(self.SIGNS)
-        last = stem[-1:]
-        # Beyond Latin, or as in "İ", normalising can end a letter in a mark that joins the signs.
-        if "<" in word or not (last < "\u0250" and last.lower().isalpha()):
-            stem = word
-        return (stem.lower() if stem.isascii() and stem.isalpha() else stem), word[len(stem):]
-
     def add(self, words):
-        parts = {word: self._base(word) for word in words}
-        missing = {piece for pair in parts.values() for piece in pair if piece and piece not in self}
-        letters = [w for w in missing if w.isalpha()]
+        letters, others, made = set(), set(), []
+        for word in words:
+            stem = word.rstrip(self.SIGNS)
+            if "<" in word:
+                stem = low = word
+            else:
+                # Beyond Latin, or as in "İ", normalising can end a letter in a mark that joins the signs.
+                if len(stem) < len(word) and not (stem and stem[-1] < "\u0250" and stem[-1].lower().isalpha()):
+                    stem = word
+                low = stem.lower() if stem.isascii() else stem
+            if low not in self:
+                (letters if low.isalpha() else others).add(low)
+            if low != word:
+                made.append((word, low, word[len(stem):]))
         if letters:
             self._add_letters(letters)
-        for word in missing.difference(letters):
-            self[word] = self._ids(word).tobytes()
-        self[""] = b""
-        for word, (stem, signs) in parts.items():
-            self[word] = self[stem] + self[signs]
+        others.update(signs for _, _, signs in made if signs not in self)
+        for word in others:
+            self[word] = self._ids(word).tobytes() if word else b""
+        for word, low, signs in made:
+            self[word] = self[low] + self[signs]
 
 
 def word_encoder(model: bytes):
