@@ -28,10 +28,10 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_rows(df: DataFrame, make, **columns: str) -> DataFrame:
+def map_rows(df: DataFrame, make, batched: bool = False, **columns: str) -> DataFrame:
     """Runs Python over the rows of `df` where they lie, without a shuffle. `make()` is called once in a
-    task and returns a function from one row's values to an iterable of result rows; `columns` names
-    the result's columns and their types."""
+    task and returns a function from one row's values (batched: from lists of the values of several rows) to
+    an iterable of result rows; `columns` names the result's columns and their types."""
     arrow = pa.schema([(name, _ARROW[kind]) for name, kind in columns.items()])
     rows = SLICE_ROWS
 
@@ -40,7 +40,8 @@ def map_rows(df: DataFrame, make, **columns: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                out = [r for row in zip(*(c.to_pylist() for c in part.columns)) for r in each(*row)]
+                lists = [c.to_pylist() for c in part.columns]
+                out = list(each(*lists)) if batched else [r for row in zip(*lists) for r in each(*row)]
                 values = zip(*out) if out else [[] for _ in arrow]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(v), f.type) for v, f in zip(values, arrow)], schema=arrow

@@ -10,4 +10,18 @@ ORACLE_SQL = {
                 count(*) over (partition by content) as group_size from d)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(content) as text_sha256 from g
     """,
+    "op3_url_rules": r"""
+        with r(verdict, rule) as (values ('allow', 'com/'), ('block', 'example.com/en/'),
+                ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')),
+        p as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+              from pages),
+        q as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw,
+                substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) as tail from p),
+        u as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(tail, '^[^?#]*') as path from q),
+        m as (select u.*, r.rule, r.verdict, row_number() over (partition by page_id order by length(r.rule) desc nulls last) as n
+              from u left join r on ends_with('.' || host, '.' || split_part(r.rule, '/', 1))
+                and starts_with(path, substr(r.rule, strpos(r.rule, '/'))))
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
+    """,
 }

@@ -1,6 +1,6 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
-from tillcast.llm import exact_dedup, line_quality, mixing, packing, simhash
+from tillcast.llm import exact_dedup, html_density, line_quality, mixing, packing, simhash, token_counts, url_rules
 from tillcast.llm.common import table
 
 QUERIES = {}
@@ -34,3 +34,18 @@ def op7_vector_best_fit(spark, sf_dir):
 @query
 def op8_soft_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_url_rules(spark, sf_dir):
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_text_density(spark, sf_dir):
+    return html_density.main_text(table(spark, sf_dir, "pages"))
