@@ -1,6 +1,6 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
-from tillcast.llm import exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, token_counts, url_rules
+from tillcast.llm import exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, token_counts, toxicity, url_rules
 from tillcast.llm.common import table
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op9_text_density(spark, sf_dir):
 @query
 def op6_rule_ensemble(spark, sf_dir):
     return rule_ensemble.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_noisy_channel_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
