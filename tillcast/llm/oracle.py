@@ -24,4 +24,33 @@ ORACLE_SQL = {
                 and starts_with(path, substr(r.rule, strpos(r.rule, '/'))))
         select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
     """,
+    "op5_line_quality": r"""
+        with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents),
+        w as (select r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from d),
+        windows as (select r, unnest(range(1, len(ws) - 1)) as i, ws from w where len(ws) > 2),
+        grams as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from windows),
+        found as (select r, i, count(*) over (partition by r, g) as n from grams),
+        repeats as (select r, count(distinct i + o) as n from found, (values (0), (1), (2)) as t(o) where n > 1 group by r),
+        l as (select r, source, text, unnest(string_split(text, chr(10))) as line from d),
+        worded as (select *, list_filter(string_split_regex(regexp_replace(lower(line), '[1-9]', '0', 'g'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
+        dups as (select r, count(*) - count(distinct line) as n from worded group by r),
+        keyed as (select r, source, text, array_to_string(ws, ' ') as key, len(ws) as n from worded where len(ws) <= 40),
+        hosts as (select source, greatest(20.0, 0.02 * count(distinct text)) as most from d group by source),
+        boiler as (select k.source, k.key from keyed k join hosts h on k.source is not distinct from h.source
+                group by k.source, k.key, h.most having count(distinct k.text) > h.most),
+        removed as (select k.r, sum(k.n) as n from keyed k join boiler b
+                on k.source is not distinct from b.source and k.key = b.key group by k.r),
+        m as (select d.r, d.doc_id, len(w.ws) as n_words,
+                length(array_to_string(w.ws, '')) as word_chars,
+                length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+                coalesce(dups.n, 0) as n_dup_lines, coalesce(repeats.n, 0) as n_repeat_words,
+                cast(coalesce(removed.n, 0) as bigint) as n_boilerplate_words
+              from d join w using (r) left join repeats using (r) left join dups using (r) left join removed using (r))
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, n_boilerplate_words,
+            not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)
+                and n_words - n_boilerplate_words >= 0.5 * n_words as kept
+        from m
+    """,
 }
