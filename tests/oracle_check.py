@@ -61,7 +61,7 @@ def compare(spark, con, sf_dir, name, query, sql):
     if got != want:
         bad = [(a, b) for a, b in zip(got, want) if a != b]
         return f"{len(bad)} rows differ, e.g. {bad[0]}"
-    names = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+    names = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
     odd = [(c, t, kinds[c]) for c, t in df.dtypes if names.get(kinds[c], kinds[c]) != t]
     return f"types {odd}" if odd else None
 
