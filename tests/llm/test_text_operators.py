@@ -1,0 +1,201 @@
+"""Line rules, token counts, packing: beside brute force and exact round trips."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillcast.llm import line_quality, packing, token_counts
+
+from conftest_llm import values
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute_counts(text):
+    text, words = text or "", words_of(text)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if words_of(x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_counts_equal_brute_force(edge_docs, edge_rows, documents):
+    for docs, rows in ((edge_docs, edge_rows), (documents, documents.select("doc_id", "text").collect())):
+        got = line_quality.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        want = []
+        for doc_id, text, *_ in rows:
+            c = brute_counts(text)
+            want.append((doc_id, *c, c[0] < 50 or 100 * c[4] > 50 * c[0]))
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("text, n", [("a b c", 0), ("a b c a b c", 6), ("a a a a", 4), ("x a b c y a b c", 6), ("a b a b a", 5), ("a b", 0)])
+def test_repeated_words(text, n):
+    assert line_quality.repeated_words(text.encode().split()) == n
+
+
+def line_docs(spark):
+    body = lambda i: "\n".join(f"sentence{i}x{k} " + " ".join(f"w{i}a{k}b{j}" for j in range(12)) for k in range(5))
+    rows = [(i, f"Home  page {100 + i}\n{body(i)}", "news") for i in range(30)]
+    thin = [f"Subscribe NOW to our letter of {y} " + " ".join(f"promo{chr(97 + j)}" for j in range(25)) for y in range(1990, 1998)]
+    rows += [(100 + i, f"{thin[0]}\n{thin[1].upper()}\nown{i} line", "news") for i in range(30)]
+    rows += [(200 + i, f"{thin[0]}\n{body(200 + i)}", "blog") for i in range(5)]
+    rows += [(300 + i, body(999), None) for i in range(40)]  # copies of one text are one document
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_boilerplate_lines_and_depleted_documents(spark):
+    docs = line_docs(spark)
+    lines = line_quality.boilerplate(line_quality.measures(docs))
+    assert sorted((r.source, r.documents) for r in lines.collect()) == [("news", 30), ("news", 30)]
+    got = {r.doc_id: r for r in line_quality.quality_rules(docs).collect()}
+    assert all(got[i].kept and got[i].n_boilerplate_words == 3 for i in range(30))  # "home page 000" is common
+    assert all(not got[100 + i].kept and not got[100 + i].base_failed for i in range(30))
+    assert all(got[200 + i].kept for i in range(5))  # another host
+    assert all(got[300 + i].kept and got[300 + i].n_boilerplate_words == 0 for i in range(40))
+    left = line_quality.keep_documents(docs)
+    assert left.columns == docs.columns and left.count() == len(got) - 30
+    clean = {r.doc_id: r.text for r in line_quality.without_boilerplate(docs, lines).collect()}
+    assert clean[100] == "own0 line" and clean[3].startswith("sentence3x0") and "Home" not in clean[3]
+    assert clean[200].startswith("Subscribe") and clean[300].count("\n") == 4
+
+
+def test_rules_on_edges(edge_docs, no_docs):
+    assert line_quality.quality_rules(no_docs).count() == line_quality.keep_documents(no_docs).count() == 0
+    kept = line_quality.keep_documents(edge_docs)
+    assert kept.columns == edge_docs.columns and values(kept, "doc_id") == [(5,), (11,)]
+
+
+def brute_lengths(rows):
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    ranks = token_counts._read_ranks(token_counts.tokenizer_file())
+    encode = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return [(source, len(encode(text or ""))) for source, text in rows]
+
+
+def test_token_counter_equals_whole_encoding():
+    from public_tokenizers import PATTERN
+
+    count = token_counts.token_counter(token_counts._read_ranks(token_counts.tokenizer_file()), PATTERN)
+    texts = [
+        "", " ", "a", " a", "a ", "a  b", "a\nb c", "a \nb", "it's  we'll don't x", "1234 5 6,7", "é à b  c", "a\x1c b\x85 c",
+        "\U0001f600 \U0001f600", "x" * 3000, "'s 'll", "tab\tseparated words here", "end\n", "<|endoftext|> b",
+    ]
+    assert [count(t) for t in texts] == [n for _, n in brute_lengths([(None, t) for t in texts])]
+
+
+def test_limits_equal_brute_force(spark, documents, edge_docs):
+    docs = documents.select("doc_id", "source", "text").union(edge_docs.select("doc_id", "source", "text"))
+    lengths = brute_lengths([(r.source, r.text) for r in docs.collect()])
+    got = token_counts.token_counts(docs).collect()
+    groups = {(False, s) for s, _ in lengths} | {(True, token_counts.ALL)}
+    assert {(r.is_all, r.source) for r in got} == groups
+    for is_all, source in groups:
+        own = np.array([n for s, n in lengths if is_all or s == source])
+        rows = sorted((r for r in got if (r.is_all, r.source) == (is_all, source)), key=lambda r: r.n_tokens)
+        assert [(r.n_tokens, r.documents) for r in rows] == sorted(Counter(own.tolist()).items())
+        for r in rows:
+            at = r.n_tokens
+            want = ((own >= at).sum(), own[own >= at].sum(), len(own), own.sum(), np.minimum(own, at).sum())
+            assert (r.documents_from, r.tokens_from, r.total_documents, r.total_tokens, r.truncated_tokens) == want
+            assert abs(r.share_at_most - (own <= at).mean()) < 1e-9
+    limits = token_counts.token_counts(docs)
+    half = token_counts.quantiles(limits, [0.5]).filter("is_all").first().n_tokens
+    everything = np.sort([n for _, n in lengths])
+    assert half == everything[-(-len(everything) // 2) - 1]
+    assert token_counts.truncated_total(limits, 77).filter("is_all").first().tokens == np.minimum(everything, 77).sum()
+
+
+def test_token_counts_of_nothing(no_docs):
+    limits = token_counts.token_counts(no_docs)
+    assert limits.count() == token_counts.quantiles(limits).count() == 0
+
+
+def whole_ids(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_file())
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_word_ids_are_those_of_whole_texts(documents):
+    texts = [r.text for r in documents.collect()] + [
+        "<|endoftext|> a<|startoftext|>b.", "it's DON'T. we'll's", "İ. ﬁ. Ǆ. ΑΣ. क़. é. é.", "x1y2. 3.14!", "a\tb\rc\x0bd\x1ce f", "", " ",
+        "...a.. b,!? ###", "<|STARTOFTEXT|>.", "\U0001f600.", "straße. GROSS. ß.",
+    ]
+    encode = packing.word_encoder(packing._read(packing.tokenizer_file()))
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == whole_ids(texts)
+
+
+def check_packing(packed, texts, length, most=None):
+    """`packed` holds every piece of `texts` (doc_id -> text) once and no sequence is over its capacities."""
+    ids = {d: x + [0] for d, x in zip(texts, whole_ids(texts.values()))}
+    seen = Counter((r.doc_id, r.piece) for r in packed)
+    for doc_id, tokens in ids.items():
+        for piece, at in enumerate(range(0, len(tokens), length)):
+            assert seen.pop((doc_id, piece)) >= 1
+    assert not seen
+    sequences = {}
+    for r in packed:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.start == r.piece * length and len(part) == r.length
+        assert zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in sequences.values():
+        places.sort()
+        assert [o for o, _ in places] == np.cumsum([0] + [n for _, n in places[:-1]]).tolist()
+        assert sum(n for _, n in places) <= length and (most is None or len(places) <= most)
+    return len(sequences)
+
+
+def test_packing_round_trip(documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    packed = packing.pack_documents(documents, shard_pieces=100).collect()
+    total = sum(len(x) + 1 for x in whole_ids(texts.values()))
+    assert check_packing(packed, texts, 2048) <= 1.05 * total / 2048 + 3
+    ids = {r.sequence_id: r.ids for r in packing.sequence_ids(documents, packing.pack_documents(documents)).collect()}
+    assert sum(map(len, ids.values())) == total and max(map(len, ids.values())) <= 2048
+
+
+@pytest.mark.parametrize("fit", ["dot", "norm", "fewest"])
+def test_every_capacity_holds(documents, fit):
+    docs = documents.filter("n_chars < 2000")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    packed = packing.pack_documents(docs, length=512, max_documents=2, fit=fit).collect()
+    check_packing(packed, texts, 512, most=2)
+
+
+def test_attention_capacity():
+    lengths = np.array([60, 60, 60, 30, 30, 10])
+    bins, offsets, opened = packing.vector_best_fit(lengths, np.array([200.0, 10, 7300]), np.array(packing.WEIGHTS), "norm")
+    for b in range(opened):
+        assert (lengths[bins == b] ** 2).sum() <= 7300
+    assert opened >= -(-int((lengths**2).sum()) // 7300)
+
+
+def test_packing_edges(edge_docs, no_docs, edge_rows):
+    packed = packing.pack_documents(edge_docs).collect()
+    by_id = Counter(r.doc_id for r in packed if r.piece == 0)
+    assert by_id == Counter(r[0] for r in edge_rows)  # repeated rows are pieces of their own
+    empty = [r for r in packed if r.doc_id in (2, 3, 4)]
+    assert [(r.start, r.length, r.ids_crc32) for r in empty] == [(0, 1, zlib.crc32(bytes(4)))] * 3
+    assert packing.pack_documents(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_documents(edge_docs, max_attention=5)
+
+
+def test_documents_of_a_hot_source_spread(documents):
+    """A third of all rows with one doc_id is dealt over all shards."""
+    rows = documents.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, 1).otherwise(F.col("doc_id")))
+    packed = packing.pack_documents(rows, shard_pieces=40)
+    hot = packed.filter("doc_id = 1").select(F.shiftright("sequence_id", 32).alias("shard")).distinct().count()
+    assert hot > 2
