@@ -2,8 +2,8 @@
 
 1. A labelled table trains a naive Bayes classifier over what is present: its domains are "toxic", "low"
    (quality 0) and "clean"; features are hashed words, hashed word beginnings, and bins of length and
-   repetition. What is absent says nothing, so short texts and rare languages stay near the prior. It learns from at most `labelled_rows` labelled documents (those with the smallest hashes) and keeps the
-   `features` buckets that depend most, and clearly (chi-square of STRENGTH a document), on the domain. Every document gets domain posteriors.
+   repetition. A single absent feature says nothing, the absence of all of them is a feature. It learns from at most `labelled_rows` labelled documents (those with the smallest hashes) and keeps the
+   `features` buckets that depend most, and clearly (chi-square of SURE, and of STRENGTH a document), on the domain. Every document gets domain posteriors.
 2. Rates. With tokens n_i (words), posteriors p_id, domain totals T_d = sum n_i p_id and targets t_d, projected
    gradient descent minimises sum_d (sum_i r_i n_i p_id - t_d)^2 / T_d over rates r_i >= 0, from r_i = 1. In the
    metric that weighs documents by n_i its steps are
@@ -14,7 +14,7 @@
    sum per domain to the driver and leaves documents where they are.
 3. A rate becomes copies: its whole part, and one more if a hash of the doc_id is below the rest.
 
-Defined results: a null text has no tokens, keeps the prior's posteriors and moves no total. Labels without
+Defined results: a null text has no tokens and no features, and moves no total. Labels without
 a matching document, or null, are not learned from; without any label all posteriors are equal. A domain of which
 the documents have no tokens is left out of the targets. Repeated rows have equal rates. Null doc_ids are hashed as
 one value. Empty tables give empty tables.
@@ -31,6 +31,7 @@ TARGETS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
 LABELLED_ROWS = 20_000
 FEATURES = 2_000
 SMOOTHING = 10.0
+SURE = 30.0
 STRENGTH = 1.0
 STEPS = 40
 CLOSE = 1e-4
@@ -59,8 +60,8 @@ def _featured(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
-    """The classifier: `bucket` and for each domain the gain in log-likelihood if the bucket is present; the
-    row with bucket null has the domains' logarithmic priors."""
+    """The classifier, by `kind`: "feature" rows have a bucket and for each domain the gain in log-likelihood
+    if it is present, "none" the gain if no such bucket is present, "prior" the domains' logarithmic priors."""
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), domain().alias("domain"))
     sample = cut_lineage(
         known.filter("domain is not null and label_id is not null").groupBy("label_id").agg(F.min("domain").alias("domain"))
@@ -84,24 +85,27 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         expected = held * (totals[d] / max(rows_all, 1.0))
         apart = apart + F.when(expected > 0, (F.col(d) - expected) * (F.col(d) - expected) / expected).otherwise(0.0)
     # Hundreds of faint features of a text are not independent and would drown the clear ones.
-    clear = counts.filter(apart >= STRENGTH * held)
+    clear = counts.filter((apart >= SURE) & (apart >= STRENGTH * held))
     chosen = cut_lineage(clear.orderBy(apart.desc(), "bucket").limit(features))
     # log P(domain | bucket) / P(domain); SMOOTHING documents of the prior keep rare buckets from deciding.
-    gains = chosen.select("bucket", *[
-        F.log((F.col(d) + SMOOTHING * prior[d]) / (held + SMOOTHING) / prior[d]).alias(d) for d in DOMAINS
-    ])
-    return gains.unionByName(
-        docs.sparkSession.range(1).select(
-            F.lit(None).cast("long").alias("bucket"), *[F.log(F.lit(prior[d])).alias(d) for d in DOMAINS]
-        )
+    gain = [F.log((F.col(d) + SMOOTHING * prior[d]) / (held + SMOOTHING) / prior[d]).alias(d) for d in DOMAINS]
+    known = chosen.select("bucket", F.lit(1).alias("hit"))
+    bare = (
+        seen.join(F.broadcast(known), "bucket", "left").groupBy("label_id", "domain").agg(F.count("hit").alias("hits"))
+        .filter("hits = 0").agg(*[F.coalesce(of[d], F.lit(0.0)).alias(d) for d in DOMAINS])
     )
+    null = F.lit(None).cast("long").alias("bucket")
+    priors = docs.sparkSession.range(1).select(F.lit("prior").alias("kind"), null, *[F.log(F.lit(prior[d])).alias(d) for d in DOMAINS])
+    return chosen.select(F.lit("feature").alias("kind"), "bucket", *gain).unionByName(
+        bare.select(F.lit("none").alias("kind"), null, *gain)
+    ).unionByName(priors)
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
     """One row per document, evaluated once: doc_id, source, tokens, p_<domain>."""
     model = cut_lineage(train(docs, labels, labelled_rows, features))
-    base = model.filter("bucket is null").first()
-    gains = model.filter("bucket is not null").select("bucket", *[F.col(d).alias(f"gain_{d}") for d in DOMAINS])
+    base, none = (model.filter(F.col("kind") == kind).first() for kind in ("prior", "none"))
+    gains = model.filter("kind = 'feature'").select("bucket", *[F.col(d).alias(f"gain_{d}") for d in DOMAINS])
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
         F.monotonically_increasing_id().alias("row"),
@@ -109,7 +113,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
     found = (
         _featured(keyed, "row", "doc_id", "source").join(F.broadcast(gains), "bucket", "left")
         .groupBy("row", "doc_id", "source", "tokens")
-        .agg(*[(F.coalesce(F.sum(f"gain_{d}"), F.lit(0.0)) + F.lit(base[d])).alias(d) for d in DOMAINS])
+        .agg(*[(F.coalesce(F.sum(f"gain_{d}"), F.lit(none[d])) + F.lit(base[d])).alias(d) for d in DOMAINS])
     )
     most = F.greatest(*[F.col(d) for d in DOMAINS])
     powers = {d: F.exp(F.col(d) - most) for d in DOMAINS}
