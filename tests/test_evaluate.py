@@ -62,7 +62,8 @@ def test_histogram_equals_numpy(spark):
 
 def test_histogram_of_one_value(spark):
     row = evaluate.residual_histogram(long_frame(spark, [(5, 1), (6, 2)])).collect()
-    assert [(r.bin, r.days) for r in row] == [(13, 2)]
+    assert sorted((r.bin, r.days) for r in row) == [(b, 2 if b == 13 else 0) for b in range(1, 26)]
+    assert {(r.low, r.high) for r in row} == {(3.5, 4.5)}
 
 
 def test_histogram_rows_are_not_shuffled_by_model(spark):

@@ -89,6 +89,7 @@ def test_boosted_beats_naive_and_ranks_features(history):
     assert len(rows) == 19 and sum(r.importance for r in rows) == pytest.approx(1.0)
     top = boosted.top_features(table).collect()
     assert len(top) == 10 and top[0].importance == max(r.importance for r in rows)
+    assert [r["rank"] for r in sorted(rows, key=lambda r: (-r.importance, r.feature))] == list(range(1, 20))
     assert model.getNumTrees == 15
 
 

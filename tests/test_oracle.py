@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle_check import TABLES, compare, connect
+from tillcast.plans import catalog
+from tillcast.plans.oracle import all_oracles
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, all_oracles()
 WITHOUT_SQL = {
     "forecast_seasonal", "forecast_seasonal_weather", "decomposition", "forecast_gbt", "forecast_gbt_weather",
-    "feature_importance", "top_features", "model_comparison",
+    "feature_importance", "model_comparison",
 }
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no generated tables here")
@@ -20,7 +22,19 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no generated tabl
 
 def test_every_query_has_sql_or_is_a_trained_model():
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_no_line_item_is_lost_in_the_matrix(spark):
+    lines, orders = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("lineitem", "orders"))
+    sold = lines.join(orders, F.expr("l_orderkey = o_orderkey")).agg(F.sum("l_quantity")).first()[0]
+    assert QUERIES["sales_daily_totals"](spark, SF).agg(F.sum("units_sold")).first()[0] == sold
+
+
+def test_boosted_queries_train_all_trees():
+    import inspect
+
+    assert "n_trees" not in inspect.getsource(catalog) and "REGISTERED" not in inspect.getsource(catalog)
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,9 @@ from datetime import date, timedelta
 import pytest
 
 from tillcast import fixed_values as fv
-from tillcast.plans.pipeline import Job, run_pipeline
+from tillcast.plans.pipeline import (
+    Job, build_gold, build_silver, ingest_sales, ingest_weather, load_sales, load_weather, run_pipeline,
+)
 from tillcast.sources import tables
 
 DAYS = 500
@@ -59,6 +61,21 @@ def test_many_stores_and_cities(spark, tmp_path):
     assert output.na.drop().count() == 4 * test_days
     texts = tables.table(spark, "marts", "mart_ai_recommendations").collect()
     assert all(r.recommendation == "Stock up." and "Weather anomaly: True" in r.prompt for r in texts)
+    place = {"CA_3": "Los Angeles", "TX_1": "Dallas"}
+    for r in texts:
+        assert r.prompt.startswith(
+            f"You are a supply chain intelligence system for the {r.store_id} {r.cat_id} \ndepartment in {place[r.store_id]}."
+        )
+    # A run for one series of one city keeps the other city and series.
+    before = {t: tables.table(spark, *t) for t in (("weather_raw", "weather_raw_daily"), ("marts", "mart_demand_features"))}
+    before = {t: sorted(map(str, df.collect())) for t, df in before.items()}
+    single = Job(
+        spark, str(tmp_path / "lake"), str(tmp_path / "sales.csv"), str(tmp_path / "calendar.csv"),
+        str(tmp_path / "landing" / "city=Dallas" / "w.json"), city="Dallas", series=("TX_1", "FOODS"), n_trees=1,
+    )
+    for stage in (ingest_weather, load_weather, ingest_sales, load_sales, build_silver, build_gold):
+        stage(single)
+    assert {t: sorted(map(str, tables.table(spark, *t).collect())) for t in before} == before
     mart = tables.table(spark, "marts", "mart_demand_features")
     assert mart.filter("temperature_max is null").count() == 0
     weekend = mart.filter("store_id = 'CA_3' and cat_id = 'FOODS' and date = date'2014-10-04'").first()
@@ -90,11 +107,24 @@ def test_broken_input_stops_the_job(spark, tmp_path):
         spark, str(tmp_path / "lake"), str(tmp_path / "sales.csv"), str(tmp_path / "calendar.csv"), str(path),
         city="Los Angeles",
     )
-    with pytest.raises(ValueError, match="temperature_max"):
+    with pytest.raises(Exception, match="required column contains NULL: temperature_max"):
         run_pipeline(job)
     # A date landed twice breaks the row-based windows and is stopped at the silver layer.
     body["daily"]["temperature_2m_max"][3] = 20.0
     body["daily"]["time"][3] = body["daily"]["time"][2]
     path.write_text(json.dumps(body))
+    spark.sql("create database if not exists weather_staging")
+    tables.write_table(spark.range(3), "weather_staging.stg_weather")
     with pytest.raises(ValueError, match="stg_weather.date unique: 1"):
         run_pipeline(job)
+    assert tables.table(spark, "staging", "stg_weather").count() == 3  # the table before stays
+
+
+def test_stores_placed_twice_are_refused(spark, tmp_path):
+    twice = spark.createDataFrame([("s", "A"), ("s", "B"), ("t", "A")], "store_id string, city string")
+    job = Job(spark, str(tmp_path), "", "", "", store_city=twice)
+    with pytest.raises(ValueError, match="placed twice: s"):
+        job.places(spark.createDataFrame([("s",)], "store_id string"))
+    assert job.places(spark.createDataFrame([("t",)], "store_id string")).count() == 1
+    with pytest.raises(ValueError, match="store_city"):
+        Job(spark, str(tmp_path), "", "", "").places(twice)

@@ -49,14 +49,18 @@ def test_date_selection(inputs):
 
 
 def test_available_dates(inputs):
-    assert tuple(recommend.available_dates(inputs[0]).first()) == (date(2016, 1, 1), date(2016, 1, 20), 40)
+    assert tuple(recommend.available_dates(inputs[0]).first()) == (date(2016, 1, 1), date(2016, 1, 20), 20)
 
 
 def test_context_and_prompt(inputs):
     dates = recommend.resolve_dates("2016-01-03,2016-01-01,2016-01-20", *inputs, KEYS, "store_id")
     context = recommend.recommendation_context(*inputs, KEYS, dates, city="store_id")
     assert context.count() == 6
-    rows = {r.date.day: r for r in recommend.with_prompt(context).filter("store_id = 's'").collect()}
+    prompts = recommend.with_prompt(context, department=F.lit("FOODS"), city="store_id")
+    rows = {r.date.day: r for r in prompts.filter("store_id = 's'").collect()}
+    assert {r.store_id: r.prompt.split("\n\n")[0] for r in prompts.collect()} == {
+        k: f"You are a supply chain intelligence system for the {k} FOODS \ndepartment in {k}." for k in ("s", "t")
+    }
     assert rows[3].error_pct == pytest.approx(10.5 / 102 * 100)
     text = rows[3].prompt
     assert text.startswith("You are a supply chain intelligence system")
@@ -101,6 +105,13 @@ def test_generation_retries_then_falls_back(spark, tmp_path):
     assert [len(open(calls / p).read()) for p in ("first", "second", "never")] == [1, 2, 3]
 
 
+def test_generation_runs_in_many_tasks(spark):
+    df = spark.range(40, numPartitions=1).selectExpr("concat('p', id) as prompt")
+    texts = recommend.generate(df, lambda p: p, wait=0.0)
+    assert texts.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    assert recommend.generate(df, lambda p: p, wait=0.0, parallelism=3).rdd.getNumPartitions() == 3
+
+
 def test_dates_restrict_the_forecasts_first(inputs):
     only = recommend.for_dates(inputs[0], recommend.parse_dates("2016-01-02"))
     assert only.count() == 2

@@ -47,6 +47,21 @@ def test_wide_csv_of_full_width(spark, tmp_path):
     assert tuple(long.agg(F.count("*"), F.sum("units_sold")).first()) == (20 * 1941, total)
 
 
+def test_files_of_another_column_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "sales"
+    folder.mkdir()
+    (folder / "a.csv").write_text("item_id,store_id,cat_id,d_1,d_2\na,s,c,1,2\n")
+    (folder / "b.csv").write_text("item_id,store_id,cat_id,d_2,d_1\nb,s,c,2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_sales_wide(spark, str(folder)).collect()
+    folder = tmp_path / "calendar"
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,wday,event_name_1,snap_CA\n2016-01-01,7,,1\n")
+    (folder / "b.csv").write_text("date,snap_CA,event_name_1,wday\n2016-01-02,1,,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_calendar(spark, str(folder)).collect()
+
+
 def test_calendar_csv(spark, tmp_path):
     path = tmp_path / "calendar.csv"
     path.write_text(
@@ -106,6 +121,6 @@ def test_tables_are_replaced_and_described(spark):
     stored = tables.table(spark, "staging", "facts")
     assert stored.count() == 2
     stats = tables.table_stats(stored, city_col="city").first()
-    assert (stats.rows, stats.cities, stats.first_city, stats.last_city) == (2, 2, "LA", "NY")
+    assert (stats.rows, stats.cities, stats.city_names) == (2, 2, "LA, NY")
     assert [r.city for r in tables.preview(stored, ["date"], 1).collect()] == ["LA"]
     assert [r.city for r in tables.preview(stored, ["date"], 1, last=True).collect()] == ["NY"]

@@ -101,8 +101,8 @@ GENERATION_ATTEMPTS = 3
 GENERATION_PAUSE_SECONDS = 10.0
 UNAVAILABLE_TEXT = "[Recommendation unavailable: {error}]"
 SNAP_DAYS_SHOWN = 5
-PROMPT_TEMPLATE = """You are a supply chain intelligence system for a Walmart FOODS 
-department in Los Angeles, California.
+PROMPT_TEMPLATE = """You are a supply chain intelligence system for the %s %s 
+department in %s.
 
 Generate an operational inventory recommendation based on this data:
 

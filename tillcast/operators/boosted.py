@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast import fixed_values as fv
@@ -13,6 +13,9 @@ from tillcast.operators.features import fill_zero, is_train
 from tillcast.session import cut_lineage
 
 
+ROWS_PER_PARTITION = 50_000
+
+
 def feature_frame(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], cutoff: str = fv.TRAIN_TEST_CUTOFF
 ) -> DataFrame:
@@ -38,9 +41,13 @@ def forecast_boosted(
     """Predictions for the test days, and the model.
 
     The feature frame is read by training and by prediction; a checkpoint makes that one
-    evaluation, cuts its lineage and survives lost executors. MLlib checkpoints between trees too.
+    evaluation, cuts its lineage and survives lost executors. MLlib checkpoints between trees too. Trees
+    grow one after the other, each with a few jobs, so training reads no more partitions than its rows
+    fill.
     """
     frame = cut_lineage(feature_frame(df, keys, features, cutoff))
+    train = frame.filter("train").select("label", "features")
+    train = train.coalesce(-(-train.count() // ROWS_PER_PARTITION) or 1)
     booster = GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -53,16 +60,18 @@ def forecast_boosted(
         maxBins=256,
         cacheNodeIds=False,
     )
-    model = booster.fit(frame.filter("train").select("label", "features"))
+    model = booster.fit(train)
     return model.transform(frame.filter(~F.col("train"))).select(*keys, "date", "prediction"), model
 
 
 def feature_importance(df: DataFrame, model: GBTRegressionModel, features: Sequence[str]) -> DataFrame:
-    """One row per feature: importance (sums to 1) and its chart group."""
+    """One row per feature: importance (sums to 1), its chart group, and its rank from the most important
+    one; read upwards it is the table in ascending importance. It has a row per feature, no more."""
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
-    return table.withColumn("feature_group", feature_group("feature"))
+    rank = F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature"))
+    return table.select("*", feature_group("feature").alias("feature_group"), rank.alias("rank"))
 
 
 def top_features(importance: DataFrame, k: int = 10) -> DataFrame:
-    return importance.orderBy(F.col("importance").desc(), "feature").limit(k)
+    return importance.filter(F.col("rank") <= k).orderBy("rank")

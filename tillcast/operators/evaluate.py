@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from tillcast import fixed_values as fv
 from tillcast.functions import expressions as ex
-from tillcast.operators.forecast import to_long
 
 
 def forecast_metrics(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE, MAPE and MAPE on anomaly days (NULL without any), in percent where a share.
 
-    Days with an actual of 0 have no percentage error: they are left out of it and counted.
+    Days with an actual of 0 have no percentage error: they are left out of it and counted. Days without
+    an actual or a prediction are not counted.
     """
     error = F.col("actual") - F.col("predicted")
     share = ex.relative_error("actual", "predicted")
@@ -24,9 +24,9 @@ def forecast_metrics(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.avg(F.abs(error)).alias("mae"),
         (F.avg(share) * 100).alias("mape"),
         (F.avg(F.when(anomaly, share)) * 100).alias("anomaly_mape"),
-        F.count(F.lit(1)).alias("days"),
-        F.count_if(anomaly).alias("anomaly_days"),
-        F.count_if(F.col("actual") == 0).alias("zero_actual_days"),
+        F.count(error).alias("days"),
+        F.count_if(anomaly & error.isNotNull()).alias("anomaly_days"),
+        F.count_if((F.col("actual") == 0) & error.isNotNull()).alias("zero_actual_days"),
     )
 
 
@@ -49,7 +49,7 @@ def residual_stats(long: DataFrame) -> DataFrame:
     """Mean of actual - predicted; positive means the model forecasts too little."""
     return long.groupBy("model").agg(
         F.avg(F.col("actual") - F.col("predicted")).alias("mean_residual"),
-        F.count(F.lit(1)).alias("days"),
+        F.count(F.col("actual") - F.col("predicted")).alias("days"),
     )
 
 
@@ -61,21 +61,24 @@ def _per_model(long: DataFrame, **aggregates: Column) -> Column:
 
 
 def residual_histogram(long: DataFrame, bins: int = fv.RESIDUAL_BINS) -> DataFrame:
-    """Equal-width bins per model from the smallest to the largest residual, the last one closed.
-    If all residuals are equal they lie in the middle bin. Empty bins have no row."""
+    """All equal-width bins per model from the smallest to the largest residual, the last one closed. If
+    all residuals are equal the range is one unit wide and they lie in its middle bin."""
     residual = F.col("actual") - F.col("predicted")
     rows = long.select("model", residual.cast("double").alias("residual")).filter("residual is not null")
     bounds = F.element_at(_per_model(rows, low=F.min("residual"), high=F.max("residual")), F.col("model"))
-    low, high = F.col("bounds.low"), F.col("bounds.high")
-    position = F.when(low == high, F.lit(bins // 2 + 1).cast("bigint")).otherwise(
-        F.least(F.width_bucket("residual", low, high, F.lit(bins)), F.lit(bins).cast("bigint"))
-    )
+    wide = F.col("bounds.low") < F.col("bounds.high")
+    low = F.when(wide, F.col("bounds.low")).otherwise(F.col("bounds.low") - 0.5)
+    high = F.when(wide, F.col("bounds.high")).otherwise(F.col("bounds.high") + 0.5)
+    position = F.least(F.width_bucket("residual", low, high, F.lit(bins)), F.lit(bins).cast("bigint"))
+    # One count per bin, so that empty bins are there and the rows are combined per model.
+    counts = [F.count_if(F.col("bin") == b).alias(f"bin{b}") for b in range(1, bins + 1)]
+    days = F.array(*[f"bin{b}" for b in range(1, bins + 1)])
     return (
         rows.withColumn("bounds", bounds)
         .select("model", low.alias("low"), high.alias("high"), position.cast("int").alias("bin"))
-        .groupBy("model", "low", "high", "bin")
-        .agg(F.count(F.lit(1)).alias("days"))
-        .select("model", "bin", "low", "high", "days")
+        .groupBy("model", "low", "high").agg(*counts)
+        .select("model", "low", "high", F.posexplode(days).alias("place", "days"))
+        .select("model", (F.col("place") + 1).alias("bin"), "low", "high", "days")
     )
 
 
@@ -146,9 +149,3 @@ def worst_days(
     joined = forecast_with_weather(worst, weather, keys, cols, city)
     return joined.select(*keys, "date", "actual_units_sold", model, "error", *cols)
 
-
-__all__ = [
-    "actual_vs_predicted", "anomaly_days", "forecast_comparison", "forecast_metrics",
-    "forecast_with_weather", "model_summary", "residual_histogram", "residual_stats", "residuals",
-    "scatter_bounds", "to_long", "worst_days",
-]

@@ -107,14 +107,19 @@ def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def model_features(
-    demand: DataFrame, keys: Sequence[str], cutoff: str = fv.TRAIN_TEST_CUTOFF, impute: bool = True
+    demand: DataFrame,
+    keys: Sequence[str],
+    cutoff: str = fv.TRAIN_TEST_CUTOFF,
+    impute: bool = True,
+    use_weather_code: bool = True,
 ) -> DataFrame:
     """Demand table -> everything the five models read.
 
     With `impute` the seven regressors are median-filled for all models that follow; without it the
-    boosted model only zero-fills, as the chart run does.
+    boosted model only zero-fills. The chart run does so, with a deterrence score that leaves out the
+    weather code: `impute=False, use_weather_code=False`.
     """
-    df = add_weather_shocks(prepare_features(demand, keys), keys, cutoff)
+    df = add_weather_shocks(prepare_features(demand, keys), keys, cutoff, use_weather_code)
     return impute_median(df, keys, cutoff=cutoff) if impute else df
 
 

@@ -63,7 +63,8 @@ def collect_predictions(
 ) -> DataFrame:
     """Predictions per model (keys, date, prediction) + the test rows -> long form.
 
-    The models are stacked before the one join with the actuals.
+    The models are stacked before the one join with the actuals. A test day for which a model has no
+    prediction stays, with NULL.
     """
     stacked = reduce(DataFrame.unionByName, [
         p.select(*keys, "date", F.lit(name).alias("model"), F.col("prediction").alias("predicted"))
@@ -72,6 +73,7 @@ def collect_predictions(
     actuals = features.filter(~is_train(cutoff)).select(
         *keys, "date", F.col("units_sold").alias("actual"), "anomaly_flag"
     )
-    return actuals.join(stacked, [*keys, "date"]).select(
+    models = F.explode(F.array(*[F.lit(name) for name in predictions])).alias("model")
+    return actuals.select("*", models).join(stacked, [*keys, "date", "model"], "left").select(
         *keys, "date", "model", "actual", "predicted", "anomaly_flag"
     )

@@ -21,8 +21,9 @@ CONTEXT_DEMAND = ["snap_ca", "is_event", "day_of_week", "sales_rolling_avg_7d"]
 
 
 def available_dates(forecasts: DataFrame) -> DataFrame:
+    """First and last date and how many different days there are, over all series."""
     return forecasts.agg(
-        F.min("date").alias("start_date"), F.max("date").alias("end_date"), F.count(F.lit(1)).alias("total_days")
+        F.min("date").alias("start_date"), F.max("date").alias("end_date"), F.count_distinct("date").alias("total_days")
     )
 
 
@@ -84,7 +85,8 @@ def recommendation_context(
     joined = forecast_with_weather(base, weather, keys, CONTEXT_WEATHER, city)
     calendar = demand.select(*keys, "date", *CONTEXT_DEMAND)
     return joined.join(calendar, [*keys, "date"], "left").select(
-        *keys, "date", "actual_units_sold", "forecasted_units", "error_pct", *CONTEXT_WEATHER, *CONTEXT_DEMAND
+        *dict.fromkeys([*keys, city]), "date", "actual_units_sold", "forecasted_units", "error_pct",
+        *CONTEXT_WEATHER, *CONTEXT_DEMAND,
     )
 
 
@@ -96,10 +98,14 @@ def _text(value: Column, missing: str) -> Column:
     return F.coalesce(value.cast("string"), F.lit(missing))
 
 
-def with_prompt(df: DataFrame) -> DataFrame:
-    """Adds the prompt column to context rows."""
+def with_prompt(
+    df: DataFrame, store: str | Column = "store_id", department: str | Column = "cat_id", city: str | Column = "city"
+) -> DataFrame:
+    """Adds the prompt column to context rows; each text names the store, department and city of its row."""
     change = ex.demand_vs_average_pct("forecasted_units", "sales_rolling_avg_7d")
+    places = [F.col(c) if isinstance(c, str) else c for c in (store, department, city)]
     parts = [
+        *[_text(c, fv.UNKNOWN_LABEL) for c in places],
         F.date_format("date", "yyyy-MM-dd"),
         ex.day_name("day_of_week"),
         _text(ex.whole_units("forecasted_units"), fv.UNKNOWN_LABEL),
@@ -143,7 +149,8 @@ def generate(
     """Adds `recommendation = fn(prompt)`. After the last failed attempt the text says so instead.
 
     Only the prompt column travels to Python. The calls are slow and few compared with the rows of any
-    other stage, so `parallelism` can spread them over more tasks than the join left.
+    other stage, and a join of few rows leaves few tasks, so they are spread over `parallelism` tasks, by
+    default as many as the session runs at a time.
     """
 
     def attempt(prompt: str) -> str:
@@ -159,7 +166,6 @@ def generate(
     def answers(prompts: pd.Series) -> pd.Series:
         return prompts.map(attempt, na_action="ignore")
 
-    if parallelism:
-        df = df.repartition(parallelism)
+    df = df.repartition(parallelism or df.sparkSession.sparkContext.defaultParallelism)
     # Non-deterministic, so the optimizer neither repeats a call nor moves it.
     return df.withColumn("recommendation", answers.asNondeterministic()("prompt"))

@@ -4,17 +4,14 @@ A region plays the store and its city. Units sold come from line items; the weat
 function of the day's orders, so that both engines of the check derive the same rows.
 
 Joins carry no broadcast hints: customers and orders grow with the data, and for the small dimensions
-Spark decides by measured size. A customer with a large share of the orders is left to the skew-join
-split of adaptive execution; line items are summed per order before they meet the orders, on the same
-shuffle key.
+Spark decides by measured size. Line items are summed per order on the key that they meet orders with, and
+orders per customer and day before they meet customers, so a customer brings at most a row per day.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillcast.operators.reshape import DAY_PREFIX
-from tillcast.session import cut_lineage
 
 KEYS = ["store_id"]
 # The store's city carries the store's name.
@@ -26,16 +23,8 @@ CUTOFF = "2001-01-01"
 CODES = [0, 1, 2, 3, 45, 48, 51, 53, 55, 61, 63, 65, 71, 73, 75, 80, 81, 82, 95, 99]
 
 
-_LAYOUTS: dict[tuple[str, str], T.StructType] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; its layout is read from the files once per application, later scans declare it."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _LAYOUTS:
-        _LAYOUTS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_LAYOUTS[key]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,35 +37,48 @@ def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed values of the derived inputs, as SQL shared by the readers below.
 DATE = "cast(o_orderdate as date)"
+# The remainder keeps sums of the seed far from overflow at any size.
+SEED = "(o_orderkey * 31 + o_custkey) % 1000003"
 EVENT = "o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0"
 SNAP = "case when day({0}) <= 10 then 1 else 0 end"
 DAY_CODE = "dayofweek({0}) % 7 + 1"
 
 
-def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def place_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per region and day the units sold, whether it had an event, and the weather's seed `k`: what sales and
+    weather take from the orders, in one pass over them."""
     per_order = (
         load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
     )
     orders = load(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey", f"{DATE} as date", f"case when {EVENT} then 1 else 0 end as event"
+        "o_orderkey", "o_custkey", f"{DATE} as date", f"case when {EVENT} then 1 else 0 end as event", f"{SEED} as part"
     )
-    sold = per_order.join(orders, F.expr("l_orderkey = o_orderkey"))
-    placed = sold.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
-    daily = placed.groupBy("r_name", "date").agg(
-        F.expr("cast(sum(quantity) as bigint) as units_sold"), F.expr("max(event) as is_event")
-    )
-    return daily.selectExpr(
-        "r_name as store_id", "date", "units_sold", f"{SNAP.format('date')} as snap_ca", "is_event",
-        f"{DAY_CODE.format('date')} as day_of_week",
+    sums = [
+        F.sum("quantity").alias("quantity"), F.count("quantity").alias("sold"),
+        F.max(F.when(F.col("quantity").isNotNull(), F.col("event"))).alias("event"), F.sum("part").alias("k"),
+    ]
+    per_customer = orders.join(per_order, F.expr("l_orderkey = o_orderkey"), "left").groupBy("o_custkey", "date").agg(*sums)
+    placed = per_customer.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+    return placed.groupBy("r_name", "date").agg(
+        F.sum("quantity").alias("quantity"), F.sum("sold").alias("sold"), F.max("event").alias("event"), F.sum("k").alias("k")
     )
 
 
-def _weather_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A number `k` per city and day; the remainder keeps its sum far from overflow at any size."""
-    orders = load(spark, sf_dir, "orders").selectExpr(
-        "o_custkey", f"{DATE} as date", "(o_orderkey * 31 + o_custkey) % 1000003 as part"
+def sales_daily(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    days = place_days(spark, sf_dir) if days is None else days
+    return days.filter("sold > 0").selectExpr(
+        "r_name as store_id", "date", "cast(quantity as bigint) as units_sold", f"{SNAP.format('date')} as snap_ca",
+        "event as is_event", f"{DAY_CODE.format('date')} as day_of_week",
     )
-    placed = orders.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+
+
+def _weather_seed(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    """A number `k` per city and day. On its own it needs no line items."""
+    if days is not None:
+        return days.selectExpr("r_name as city", "date", "k")
+    orders = load(spark, sf_dir, "orders").selectExpr("o_custkey", f"{DATE} as date", f"{SEED} as part")
+    per_customer = orders.groupBy("o_custkey", "date").agg(F.sum("part").alias("part"))
+    placed = per_customer.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
     return placed.groupBy(F.col("r_name").alias("city"), "date").agg(F.sum("part").alias("k"))
 
 
@@ -93,8 +95,8 @@ def _weather_columns(seed: DataFrame) -> DataFrame:
     )
 
 
-def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weather_columns(_weather_seed(spark, sf_dir)).drop("k")
+def weather_daily(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    return _weather_columns(_weather_seed(spark, sf_dir, days)).drop("k")
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,38 +119,39 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Days of the orders; the matrix has one column more, without a calendar row.
+FIRST_DAY, LAST_DAY, MATRIX_DAYS = "1995-01-01", "2001-08-01", 2405
+
+
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item x day matrix: an item is a return flag and line number, a day the day of the year."""
-    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_quantity")
-    orders = load(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", f"dayofyear({DATE}) as day")
+    """Item x day matrix: an item is a supplier's, a column a day from FIRST_DAY on. Quantities are
+    summed before each join."""
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_quantity").alias("units"))
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", f"datediff({DATE}, date'{FIRST_DAY}') + 1 as day"
+    )
     sold = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
-    placed = sold.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
-    numbers = range(1, 367)
-    # Names are put together after the sums, not per line item.
+    per_customer = sold.groupBy("o_custkey", "l_suppkey", "day").agg(F.sum("units").alias("units"))
+    placed = per_customer.join(customer_region(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+    numbers = range(1, MATRIX_DAYS + 1)
     matrix = (
-        placed.groupBy("l_returnflag", "l_linenumber", "r_name")
-        .pivot("day", list(numbers))
-        .agg(F.expr("cast(sum(l_quantity) as int)"))
+        placed.groupBy("l_suppkey", "r_name").pivot("day", list(numbers)).agg(F.expr("cast(sum(units) as int)"))
     )
-    ids = ["concat_ws('_', l_returnflag, l_linenumber) as item_id", "r_name as store_id", "l_returnflag as cat_id"]
-    # Stands for a landed file: evaluated once, so a melt does not merge into the pivot's projection and
-    # outgrow the limit of generated code.
-    return cut_lineage(matrix.selectExpr(*ids, *[f"`{n}` as {DAY_PREFIX}{n}" for n in numbers]))
+    ids = ["concat('item_', l_suppkey) as item_id", "r_name as store_id", f"{CATEGORY} as cat_id"]
+    extra = f"cast(null as int) as {DAY_PREFIX}{MATRIX_DAYS + 1}"
+    return matrix.selectExpr(*ids, *[f"`{n}` as {DAY_PREFIX}{n}" for n in numbers], extra)
+
+
+CATEGORY = "case l_suppkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end"
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 365 days of 2001, with an event on days that had an urgent order with such a key in any year.
-    Day 366 of the matrix has no calendar row."""
-    days = spark.sql(
-        "select explode(sequence(date'2001-01-01', date'2001-12-31', interval 1 day)) as day"
-    )
-    events = (
-        load(spark, sf_dir, "orders")
-        .filter(EVENT)
-        .groupBy(F.expr(f"month({DATE}) as m"), F.expr(f"day({DATE}) as dom"))
-        .agg(F.count(F.lit(1)).alias("orders"))
+    """The days of the matrix but its last column, with an event on days that had an urgent order with such a key."""
+    days = spark.sql(f"select explode(sequence(date'{FIRST_DAY}', date'{LAST_DAY}', interval 1 day)) as day")
+    events = load(spark, sf_dir, "orders").filter(EVENT).groupBy(F.expr(f"{DATE} as event_day")).agg(
+        F.count(F.lit(1)).alias("orders")
     )
-    return days.join(events, F.expr("month(day) = m and day(day) = dom"), "left").selectExpr(
+    return days.join(events, F.expr("day = event_day"), "left").selectExpr(
         "date_format(day, 'yyyy-MM-dd') as date",
         f"{DAY_CODE.format('day')} as wday",
         "case when orders is not null then 'Event' end as event_name_1",

@@ -3,11 +3,13 @@ or one table of the pipeline on all of their rows."""
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast import fixed_values as fv
 from tillcast import schemas
+from tillcast.functions.expressions import feature_group
 from tillcast.operators import (
     boosted, demand, evaluate, features, forecast, quality, recommend, reshape, seasonal, staging, weather,
 )
@@ -16,9 +18,6 @@ from tillcast.plans.adapters import CITY, CUTOFF, KEYS, ON
 from tillcast.session import cut_lineage
 from tillcast.sources import tables
 
-# Trees of the registered boosted models. The operators default to 500; MLlib grows trees one after
-# the other, so the registered ones show the same plan with fewer rounds.
-REGISTERED_TREES = 20
 # Oracle-checkable stand-ins for model columns: the constant forecast and the value a week ago.
 STAND_INS = ["naive_prediction", "lag7_prediction"]
 STAND_IN_TITLES = {"naive_prediction": "Naive Baseline", "lag7_prediction": "Same Day Last Week"}
@@ -40,27 +39,30 @@ def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
 
 # --- shared inputs ---------------------------------------------------------
 
-def _stg_weather(spark, sf):
-    return staging.stg_weather(ad.weather_daily(spark, sf))
+def _stg_weather(spark, sf, days=None):
+    return staging.stg_weather(ad.weather_daily(spark, sf, days))
 
 
-def _stg_sales(spark, sf):
-    return staging.stg_sales(ad.sales_daily(spark, sf), KEYS)
+def _stg_sales(spark, sf, days=None):
+    return staging.stg_sales(ad.sales_daily(spark, sf, days), KEYS)
 
 
-def _weather(spark, sf):
-    return weather.mart_weather_daily(_stg_weather(spark, sf))
+def _weather(spark, sf, days=None):
+    return weather.mart_weather_daily(_stg_weather(spark, sf, days))
 
 
-def _demand(spark, sf):
-    return demand.mart_demand_features(_stg_sales(spark, sf), _weather(spark, sf), KEYS, ON)
+def _demand(spark, sf, days=None):
+    # Sales and weather read the same orders: their sums per place and day are taken once.
+    days = cut_lineage(ad.place_days(spark, sf)) if days is None else days
+    return demand.mart_demand_features(_stg_sales(spark, sf, days), _weather(spark, sf, days), KEYS, ON)
 
 
 def _gold(spark, sf):
     """Both gold tables evaluated once, for queries with several branches over them: the joins of
     lines, orders and customers are the large part, the tables have a row per place and day."""
-    wx = cut_lineage(_weather(spark, sf))
-    return wx, cut_lineage(demand.mart_demand_features(_stg_sales(spark, sf), wx, KEYS, ON))
+    days = cut_lineage(ad.place_days(spark, sf))
+    wx = cut_lineage(_weather(spark, sf, days))
+    return wx, cut_lineage(demand.mart_demand_features(_stg_sales(spark, sf, days), wx, KEYS, ON))
 
 
 def _features(spark, sf):
@@ -94,6 +96,11 @@ def _context(wx, mart, dates=None):
     return recommend.recommendation_context(_forecast_table(mart), wx, mart, KEYS, dates, "lag7_prediction", CITY)
 
 
+def _with_prompt(context):
+    """The star schema has no departments; a region is store and city at once."""
+    return recommend.with_prompt(context, department=F.lit("RETAIL"), city=CITY)
+
+
 # --- sales and calendar ----------------------------------------------------
 
 @query
@@ -200,7 +207,8 @@ def mart_weather_daily(spark, sf):
 
 @query
 def demand_join(spark, sf):
-    return demand.join_weather(_stg_sales(spark, sf), _weather(spark, sf), KEYS, ON)
+    days = cut_lineage(ad.place_days(spark, sf))
+    return demand.join_weather(_stg_sales(spark, sf, days), _weather(spark, sf, days), KEYS, ON)
 
 
 @query
@@ -367,6 +375,54 @@ def worst_days(spark, sf):
     return evaluate.worst_days(_forecast_table(mart), wx, KEYS, "lag7_prediction", city=CITY)
 
 
+# --- what the models read --------------------------------------------------
+
+@query
+def seasonal_design(spark, sf):
+    """The seasonal model's columns: time, trend changes, weekly and yearly waves, standardised regressors."""
+    design = seasonal.seasonal_design(_features(spark, sf), KEYS, CUTOFF, fv.WEATHER_REGRESSORS)
+    named = {
+        "trend": ("trend_terms", seasonal.CHANGEPOINTS + 2), "weekly": ("weekly_terms", 2 * seasonal.WEEKLY[1]),
+        "yearly": ("yearly_terms", 2 * seasonal.YEARLY[1]), "regressor": ("regressor_terms", len(fv.WEATHER_REGRESSORS)),
+    }
+    columns = [F.round(F.col(c)[i], 6).alias(f"{name}_{i}") for name, (c, n) in named.items() for i in range(n)]
+    return design.select(*KEYS, "date", "y", "train", *columns)
+
+
+@query
+def boosted_matrix(spark, sf):
+    """The boosted models' columns after filling: label, split, the 19 features, of which the first 7 are
+    those of the model without weather."""
+    frame = boosted.feature_frame(_features(spark, sf), KEYS, fv.WEATHER_FEATURES, CUTOFF)
+    values = vector_to_array("features")
+    columns = [F.round(values[i], 6).alias(f) for i, f in enumerate(fv.WEATHER_FEATURES)]
+    return frame.select(*KEYS, "date", "label", "train", *columns)
+
+
+@query
+def feature_profile(spark, sf):
+    """Per feature over all training rows: chart group, gaps that filling closes, mean after filling."""
+    rows = features.model_features(_demand(spark, sf), KEYS, CUTOFF, impute=False)
+    train = rows.filter(features.is_train(CUTOFF)).select(*[F.col(f).cast("double").alias(f) for f in fv.WEATHER_FEATURES])
+    stats = train.agg(
+        *[F.count_if(F.col(f).isNull()).alias(f"{f}_gaps") for f in fv.WEATHER_FEATURES],
+        *[F.avg(F.coalesce(F.col(f), F.lit(0.0))).alias(f"{f}_mean") for f in fv.WEATHER_FEATURES],
+    )
+    lines = F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"{f}_gaps").alias("gaps"), F.round(f"{f}_mean", 6).alias("mean"))
+        for f in fv.WEATHER_FEATURES
+    ])
+    return stats.select(F.explode(lines).alias("l")).select("l.*").withColumn("feature_group", feature_group("feature"))
+
+
+@query
+def chart_features(spark, sf):
+    """What the chart run's boosted model reads: zero fill, and a deterrence score without the weather code."""
+    rows = features.model_features(_demand(spark, sf), KEYS, CUTOFF, impute=False, use_weather_code=False)
+    filled = features.fill_zero(rows, fv.WEATHER_FEATURES)
+    return _round(filled, "temp_anomaly_from_monthly", "temp_change_3d").select(*KEYS, "date", *fv.WEATHER_FEATURES)
+
+
 # --- trained models --------------------------------------------------------
 
 @query
@@ -386,29 +442,24 @@ def decomposition(spark, sf):
 
 @query
 def forecast_gbt(spark, sf):
-    return boosted.forecast_boosted(_features(spark, sf), KEYS, fv.BASE_FEATURES, CUTOFF, REGISTERED_TREES)[0]
+    return boosted.forecast_boosted(_features(spark, sf), KEYS, fv.BASE_FEATURES, CUTOFF)[0]
 
 
 @query
 def forecast_gbt_weather(spark, sf):
-    return boosted.forecast_boosted(_features(spark, sf), KEYS, fv.WEATHER_FEATURES, CUTOFF, REGISTERED_TREES)[0]
+    return boosted.forecast_boosted(_features(spark, sf), KEYS, fv.WEATHER_FEATURES, CUTOFF)[0]
 
 
 @query
 def feature_importance(spark, sf):
     prepared = _features(spark, sf)
-    model = boosted.forecast_boosted(prepared, KEYS, fv.WEATHER_FEATURES, CUTOFF, REGISTERED_TREES)[1]
+    model = boosted.forecast_boosted(prepared, KEYS, fv.WEATHER_FEATURES, CUTOFF)[1]
     return boosted.feature_importance(prepared, model, fv.WEATHER_FEATURES)
 
 
-@query
-def top_features(spark, sf):
-    return boosted.top_features(feature_importance(spark, sf))
-
-
 @query
 def model_comparison(spark, sf):
-    long, _ = forecast.forecast_all(_features(spark, sf), KEYS, CUTOFF, REGISTERED_TREES)
+    long, _ = forecast.forecast_all(_features(spark, sf), KEYS, CUTOFF)
     return evaluate.model_summary(long)
 
 
@@ -441,7 +492,7 @@ def recommendation_context(spark, sf):
 
 @query
 def recommendation_prompt(spark, sf):
-    prompts = recommend.headline(recommend.with_prompt(_context(*_gold(spark, sf))))
+    prompts = recommend.headline(_with_prompt(_context(*_gold(spark, sf))))
     return prompts.select(*KEYS, "date", "prompt", "headline")
 
 
@@ -455,7 +506,7 @@ def stub_answer(prompt: str) -> str:
 @query
 def recommendation_generate(spark, sf):
     wx, mart = _gold(spark, sf)
-    prompts = recommend.with_prompt(_context(wx, mart, _resolved(wx, mart, "anomaly")))
+    prompts = _with_prompt(_context(wx, mart, _resolved(wx, mart, "anomaly")))
     return recommend.generate(prompts, stub_answer, wait=0.0).select(*KEYS, "date", "recommendation")
 
 

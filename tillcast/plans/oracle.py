@@ -1,5 +1,6 @@
 """DuckDB SQL of the registered queries, built from shared common table expressions."""
 
+import math
 import re
 
 from tillcast import fixed_values as fv
@@ -7,8 +8,6 @@ from tillcast.plans.adapters import CODES, CUTOFF
 from tillcast.plans.catalog import DATE_LIST, STAND_IN_TITLES
 from tillcast.schemas import DEMAND_WEATHER_COLUMNS, WEATHER_MART_COLUMNS
 
-DAYS = [f"d_{n}" for n in range(1, 367)]
-
 
 def _case(values: dict, key: str, default: str) -> str:
     whens = " ".join(f"when {k} then '{v}'" for k, v in values.items())
@@ -149,6 +148,17 @@ CTES = {
     "medians": "select store_id, "
     + ", ".join(f"cast(median({c}) as double) as {c}" for c in fv.WEATHER_REGRESSORS)
     + f" from shocks where {_TRAIN} group by store_id",
+    "filled": "select s.* replace (" + ", ".join(
+        f"coalesce(cast(s.{c} as double), m.{c}) as {c}" for c in fv.WEATHER_REGRESSORS
+    ) + ") from shocks s left join medians m on s.store_id = m.store_id",
+    "clock": f"""
+        select *, cast(date_diff('day', date '1970-01-01', date) as double) as day,
+               cast(min(case when {_TRAIN} then date_diff('day', date '1970-01-01', date) end) over s as double) as first_day,
+               cast(max(case when {_TRAIN} then date_diff('day', date '1970-01-01', date) end) over s as double) as last_day
+        from filled window s as (partition by store_id)""",
+    "timed": """
+        select *, coalesce(case when last_day > first_day then (day - first_day) / (last_day - first_day) end, 0e0) as time
+        from clock""",
     "last_train": f"select store_id, arg_max(units_sold, date) as last_units from warm where {_TRAIN} group by store_id",
     "forecasts": f"""
         select w.store_id, w.date, w.units_sold as actual_units_sold, w.anomaly_flag,
@@ -160,13 +170,13 @@ CTES = {
         union all
         select store_id, date, actual_units_sold, anomaly_flag, 'lag7_prediction', lag7_prediction from forecasts""",
     "errors": "select *, actual - predicted as residual, case when actual <> 0 then abs((actual - predicted) / actual) end as share from long_rows",
-    "bounds": "select model, min(residual) as low, max(residual) as high from errors group by model",
-    "binned": f"""
-        select e.model, b.low, b.high,
-               case when b.low = b.high then {fv.RESIDUAL_BINS // 2 + 1}
-                    else least(cast(floor({fv.RESIDUAL_BINS} * (e.residual - b.low) / (b.high - b.low)) as int) + 1,
-                               {fv.RESIDUAL_BINS}) end as bin
-        from errors e join bounds b on e.model = b.model""",
+    "ends": "select model, min(residual) as low, max(residual) as high from errors group by model",
+    "bounds": """
+        select model, case when low = high then low - 0.5 else low end as low,
+               case when low = high then high + 0.5 else high end as high from ends""",
+    "binned": """
+        select e.model, least(cast(floor(25 * (e.residual - b.low) / (b.high - b.low)) as int) + 1, 25) as bin
+        from errors e join bounds b on e.model = b.model where e.residual is not null""",
     "snap_days": """
         select f.store_id, f.date, row_number() over (partition by f.store_id order by f.date) as n
         from forecasts f left join demand_mart d on f.store_id = d.store_id and f.date = d.date
@@ -181,24 +191,25 @@ CTES = {
         left join weather_mart w on f.store_id = w.city and f.date = w.date
         left join demand_mart d on f.store_id = d.store_id and f.date = d.date""",
     "matrix_sums": """
-        select l_returnflag || '_' || l_linenumber as item_id, r_name as store_id, l_returnflag as cat_id,
-               cast(extract(doy from o_orderdate) as int) as n, cast(sum(l_quantity) as int) as units_sold
+        select 'item_' || l_suppkey as item_id, r_name as store_id,
+               case l_suppkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as cat_id,
+               cast(date_diff('day', date '1995-01-01', cast(o_orderdate as date)) + 1 as int) as n,
+               cast(sum(l_quantity) as int) as units_sold
         from lineitem join orders on l_orderkey = o_orderkey join regions on o_custkey = c_custkey group by all""",
     "matrix_rows": """
         select i.item_id, i.store_id, i.cat_id, 'd_' || g.n as d, m.units_sold
         from (select distinct item_id, store_id, cat_id from matrix_sums) i
-        cross join (select cast(unnest(range(1, 367)) as int) as n) g
+        cross join (select cast(unnest(range(1, 2407)) as int) as n) g
         left join matrix_sums m on m.item_id = i.item_id and m.store_id = i.store_id
                                and m.cat_id = i.cat_id and m.n = g.n""",
     "calendar_rows": """
         select strftime(day, '%Y-%m-%d') as date, cast((dayofweek(day) + 1) % 7 + 1 as int) as wday,
-               case when exists (select 1 from orders where o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0
-                                 and extract(month from o_orderdate) = extract(month from day)
-                                 and extract(day from o_orderdate) = extract(day from day)) then 'Event' end
+               case when day in (select cast(o_orderdate as date) from orders
+                                 where o_orderpriority = '1-URGENT' and o_orderkey % 7 = 0) then 'Event' end
                    as event_name_1,
                case when extract(day from day) <= 10 then 1 else 0 end as snap_CA,
-               'd_' || extract(doy from day) as d
-        from (select unnest(generate_series(date '2001-01-01', date '2001-12-31', interval 1 day)) as day)""",
+               'd_' || (date_diff('day', date '1995-01-01', day) + 1) as d
+        from (select cast(unnest(generate_series(date '1995-01-01', date '2001-08-01', interval 1 day)) as date) as day)""",
     "matrix_days": """
         select m.*, c.date, c.snap_CA, c.event_name_1, c.wday,
                case when c.event_name_1 is not null then 1 else 0 end as is_event
@@ -213,8 +224,8 @@ _METRICS = """
     round(sqrt(avg(residual * residual)), 6) as rmse, round(avg(abs(residual)), 6) as mae,
     round(avg(share) * 100, 6) as mape,
     round(avg(case when anomaly_flag = 1 then share end) * 100, 6) as anomaly_mape,
-    count(*) as days, count(case when anomaly_flag = 1 then 1 end) as anomaly_days,
-    count(case when actual = 0 then 1 end) as zero_actual_days"""
+    count(residual) as days, count(case when anomaly_flag = 1 then residual end) as anomaly_days,
+    count(case when actual = 0 then residual end) as zero_actual_days"""
 _CHANGE = """case when coalesce(sales_rolling_avg_7d, forecasted_units) > 0
     then (forecasted_units - coalesce(sales_rolling_avg_7d, forecasted_units))
          / coalesce(sales_rolling_avg_7d, forecasted_units) * 100 else 0.0e0 end"""
@@ -230,6 +241,7 @@ def _number(col: str) -> str:
 
 def _prompt() -> str:
     parts = [
+        "store_id", "'RETAIL'", "store_id",
         "strftime(date, '%Y-%m-%d')",
         _case(fv.DAY_NAMES, "day_of_week", fv.UNKNOWN_LABEL),
         "cast(cast(trunc(forecasted_units) as bigint) as varchar)",
@@ -292,6 +304,31 @@ _FEATURES_ZERO = ", ".join(
     else f"coalesce({c}, 0) as {c}"
     for c in fv.WEATHER_FEATURES
 )
+_ALL_ZERO = ", ".join(f"round(coalesce(cast({c} as double), 0), 6) as {c}" for c in fv.WEATHER_FEATURES)
+
+
+def _waves(name: str, period: float, order: int) -> list[str]:
+    angles = [f"day * {2 * math.pi * n / period!r}e0" for n in range(1, order + 1)]
+    calls = [f"{f}({a})" for a in angles for f in ("sin", "cos")]
+    return [f"round({c}, 6) as {name}_{i}" for i, c in enumerate(calls)]
+
+
+def _standard(c: str) -> str:
+    known = f"case when {_TRAIN} then cast({c} as double) end"
+    over = "over (partition by store_id)"
+    return f"""coalesce(case when stddev_samp({known}) {over} > 0
+        then (cast({c} as double) - avg({known}) {over}) / stddev_samp({known}) {over} end, 0e0)"""
+
+
+# Published design: 25 trend changes in the first 80 % of the training time, weekly order 3, yearly order 10.
+_DESIGN = ", ".join([
+    "round(1e0, 6) as trend_0", "round(time, 6) as trend_1",
+    *[f"round(greatest(time - {0.8 * j / 25!r}e0, 0e0), 6) as trend_{j + 1}" for j in range(1, 26)],
+    *_waves("weekly", 7.0, 3), *_waves("yearly", 365.25, 10),
+    *[f"round({_standard(c)}, 6) as regressor_{i}" for i, c in enumerate(fv.WEATHER_REGRESSORS)],
+])
+_GROUP = """case when regexp_matches(feature, 'tomorrow|weather|temp_anomaly|shopping|unseasonable') then 'weather'
+    when regexp_matches(feature, 'sales|snap|event') then 'sales_calendar' else 'other' end"""
 _SUMMARY_CASES = " ".join(f"when '{m}' then '{t}'" for m, t in STAND_IN_TITLES.items())
 _SUMMARY_ORDER = " ".join(f"when '{m}' then {i + 1}" for i, m in enumerate(STAND_IN_TITLES))
 
@@ -350,6 +387,17 @@ SELECTS = {
     + ", ".join(f"round(coalesce(cast(s.{c} as double), m.{c}), 6) as {c}" for c in fv.WEATHER_REGRESSORS)
     + " from shocks s left join medians m on s.store_id = m.store_id",
     "features_fill_zero": f"select store_id, date, {_FEATURES_ZERO} from shocks",
+    "seasonal_design": f"""select store_id, date, cast(units_sold as double) as y, {_TRAIN} as train, {_DESIGN}
+        from timed""",
+    "boosted_matrix": f"""select store_id, date, cast(units_sold as double) as label, {_TRAIN} as train, {_ALL_ZERO}
+        from filled""",
+    "feature_profile": f"select *, {_GROUP} as feature_group from (" + " union all ".join(
+        f"""select '{c}' as feature, count(*) - count({c}) as gaps,
+            round(avg(coalesce(cast({c} as double), 0)), 6) as mean from shocks where {_TRAIN}"""
+        for c in fv.WEATHER_FEATURES
+    ) + ")",
+    "chart_features": "select store_id, date, "
+    + _FEATURES_ZERO.replace("coalesce(shopping_deterrence, 0)", "coalesce(deterrence_chart, 0)") + " from shocks",
     "split_counts": f"""select case when {_TRAIN} then 'train' else 'test' end as split, count(*) as rows,
         min(date) as min_date, max(date) as max_date from warm group by 1""",
     "split_series": f"""select store_id, date, units_sold, case when {_TRAIN} then 'train' else 'test' end as split
@@ -362,8 +410,10 @@ SELECTS = {
         case model {_SUMMARY_CASES} end as title, round(sqrt(avg(residual * residual)), 6) as rmse,
         round(avg(abs(residual)), 6) as mae, round(avg(share) * 100, 6) as mape from errors group by model""",
     "residuals": "select store_id, date, model, residual from errors",
-    "residual_stats": "select model, round(avg(residual), 6) as mean_residual, count(*) as days from errors group by model",
-    "residual_histogram": "select model, bin, low, high, count(*) as days from binned group by all",
+    "residual_stats": "select model, round(avg(residual), 6) as mean_residual, count(residual) as days from errors group by model",
+    "residual_histogram": """select b.model, g.bin, b.low, b.high,
+        (select count(*) from binned n where n.model = b.model and n.bin = g.bin) as days
+        from bounds b cross join (select cast(unnest(range(1, 26)) as int) as bin) g""",
     "scatter_bounds": """select model, cast(least(min(actual), min(predicted)) as double) as low,
         cast(greatest(max(actual), max(predicted)) as double) as high, round(avg(share) * 100, 6) as mape
         from errors group by model""",
@@ -381,7 +431,7 @@ SELECTS = {
         w.is_extreme_heat, w.is_heavy_rain, w.weather_description
         from forecasts f left join weather_mart w on f.store_id = w.city and f.date = w.date
         order by error desc nulls last, f.date, f.store_id limit 20""",
-    "available_dates": "select min(date) as start_date, max(date) as end_date, count(*) as total_days from forecasts",
+    "available_dates": "select min(date) as start_date, max(date) as end_date, count(distinct date) as total_days from forecasts",
     "dates_anomaly": """select f.store_id, f.date from forecasts f
         left join weather_mart w on f.store_id = w.city and f.date = w.date where w.anomaly_flag = 1""",
     "dates_snap": f"select store_id, date from snap_days where n <= {fv.SNAP_DAYS_SHOWN}",
@@ -395,7 +445,7 @@ SELECTS = {
         from context where anomaly_flag = 1""",
     "dq_report": _dq_lines(),
     "table_stats": """select count(*) as rows, min(date) as min_date, max(date) as max_date,
-        count(distinct city) as cities, min(city) as first_city, max(city) as last_city from weather_mart""",
+        count(distinct city) as cities, string_agg(distinct city, ', ' order by city) as city_names from weather_mart""",
     "table_stats_by_city": """select city, count(*) as rows, min(date) as min_date, max(date) as max_date
         from weather_mart group by city""",
     "series_head": "select * from stg_sales_rows order by date, store_id limit 5",

@@ -1,7 +1,9 @@
 """The whole batch job in dependency order: bronze, raw, silver, gold, forecast, recommendation.
 
 Every stage ends in a written file or table and the next one reads it, so a lost executor or a failed
-stage repeats one stage only, and each stage replaces its output: running twice equals running once.
+stage repeats one stage only. Bronze is laid out by city and by series, and a run replaces those that it
+brings; all later tables are built from everything in bronze. So running twice equals running once, and a run for
+one city or series keeps the others. Silver and gold frames pass their data tests before they replace a table.
 """
 
 from collections.abc import Callable, Sequence
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from tillcast import fixed_values as fv
 from tillcast import schemas
 from tillcast.operators import demand, evaluate, features, forecast, quality, recommend, reshape, staging, weather
+from tillcast.session import cut_lineage
 from tillcast.sources import files, tables
 
 CITY = ["city"]
@@ -24,7 +27,8 @@ class Job:
 
     `root` is the folder of the bronze layer. `city` names the one city of `weather_json`; without it
     the folder holds `city=<name>/` subfolders. `store_city` (store_id, city) places the stores; with
-    one city it may be left out. `series` limits the run to (store_id, cat_id).
+    one city it may be left out. `series` limits the run to (store_id, cat_id). `parallelism` is the number
+    of tasks that call `answer`, by default as many as the session runs at a time.
     """
 
     spark: SparkSession
@@ -38,12 +42,11 @@ class Job:
     keys: Sequence[str] = ("store_id", "cat_id")
     cutoff: str = fv.TRAIN_TEST_CUTOFF
     n_trees: int = fv.BOOSTED_TREES
-    start_date: str = "2011-01-01"
-    end_date: str = "2016-12-31"
     selection: str = "anomaly"
     answer: Callable[[str], str] | None = None
     retries: int = fv.GENERATION_ATTEMPTS
     wait: float = fv.GENERATION_PAUSE_SECONDS
+    parallelism: int | None = None
     written: list = field(default_factory=list)
 
     def table(self, layer: str, name: str) -> DataFrame:
@@ -52,30 +55,37 @@ class Job:
     def save(self, df: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:
         self.written.append(tables.materialize(df, layer, name, sort_by=[*keys, "date"]))
 
-    def placed(self, df: DataFrame) -> DataFrame:
-        """`df` with the city of each store."""
+    def bronze(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/bronze/{name}"
+
+    def places(self, stores: DataFrame) -> DataFrame:
+        """The city of each of these stores."""
         if self.store_city is not None:
-            return demand.attach_city(df, self.store_city)
+            known = self.store_city.select("store_id", "city").join(stores.select("store_id").distinct(), "store_id", "left_semi")
+            twice = known.groupBy("store_id").count().filter("count > 1").select("store_id").limit(5).collect()
+            if twice:
+                raise ValueError(f"stores placed twice: {', '.join(sorted(r.store_id for r in twice))}")
+            return known
         if self.city is None:
             raise ValueError("several cities need a store_city table")
-        return df.withColumn("city", F.lit(self.city))
+        return stores.select("store_id").distinct().withColumn("city", F.lit(self.city))
 
-
-def weather_bronze_path(job: Job) -> str:
-    if job.city is None:
-        return f"{job.root.rstrip('/')}/bronze/weather"
-    return files.bronze_weather_path(job.root, job.city, job.start_date, job.end_date)
+    def placed(self, df: DataFrame) -> DataFrame:
+        """`df` with the city of each store, also of stores that earlier runs brought."""
+        known = self.spark.read.schema("city string, store_id string").parquet(self.bronze("places"))
+        return demand.attach_city(df, known)
 
 
 def ingest_weather(job: Job) -> None:
     rows = files.read_weather_json(job.spark, job.weather_json, job.city)
+    # The guard rides along with the write: the landing folder is read once.
     required = schemas.required(schemas.BRONZE_WEATHER)
-    bronze = quality.conform(quality.require_not_null(rows, required), schemas.BRONZE_WEATHER)
-    tables.write_bronze(bronze, weather_bronze_path(job))
+    bronze = quality.guard_not_null(quality.conform(rows, schemas.BRONZE_WEATHER), required)
+    tables.write_bronze(bronze.repartition("city"), job.bronze("weather"), CITY)
 
 
 def load_weather(job: Job) -> None:
-    bronze = files.read_bronze(job.spark, weather_bronze_path(job), schemas.RAW_WEATHER)
+    bronze = files.read_bronze(job.spark, job.bronze("weather"), schemas.RAW_WEATHER)
     job.save(quality.conform(bronze, schemas.RAW_WEATHER), "weather_raw", "weather_raw_daily", CITY)
 
 
@@ -87,35 +97,36 @@ def ingest_sales(job: Job) -> None:
     schema = schemas.keyed(schemas.BRONZE_SALES, job.keys)
     # The guard rides along with the write: no second pass over the matrix.
     bronze = quality.guard_not_null(quality.conform(daily, schema), schemas.required(schema))
-    tables.write_bronze(bronze, files.bronze_sales_path(job.root, "daily"))
+    tables.write_bronze(bronze.repartition(*job.keys), job.bronze("sales"), job.keys)
+    tables.write_bronze(job.places(wide), job.bronze("places"), ["store_id"])
 
 
 def load_sales(job: Job) -> None:
     schema = schemas.keyed(schemas.RAW_SALES, job.keys)
-    bronze = files.read_bronze(job.spark, files.bronze_sales_path(job.root, "daily"), schema)
+    bronze = files.read_bronze(job.spark, job.bronze("sales"), schema)
     job.save(quality.conform(bronze, schema), "sales_raw", "sales_raw_daily", job.keys)
 
 
-def _require(job: Job, layer: str, names: Sequence[str]) -> None:
+def _publish(job: Job, layer: str, frames: dict[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Evaluates and tests the frames, then writes them: a failing test leaves the old tables in place."""
+    ready = {name: (cut_lineage(df), keys) for name, (df, keys) in frames.items()}
     tests = quality.standard_tests(job.keys, CITY)
-    quality.require_checks(quality.run_checks({n: job.table(layer, n) for n in names}, tests))
+    quality.require_checks(quality.run_checks({name: df for name, (df, _) in ready.items()}, tests))
+    for name, (df, keys) in ready.items():
+        job.save(df, layer, name, keys)
 
 
 def build_silver(job: Job) -> None:
-    weather_rows = staging.stg_weather(job.table("weather_raw", "weather_raw_daily"))
-    job.save(weather_rows, "staging", "stg_weather", CITY)
-    sales_rows = staging.stg_sales(job.table("sales_raw", "sales_raw_daily"), job.keys)
-    job.save(sales_rows, "staging", "stg_sales", job.keys)
-    _require(job, "staging", ["stg_weather", "stg_sales"])
+    _publish(job, "staging", {
+        "stg_weather": (staging.stg_weather(job.table("weather_raw", "weather_raw_daily")), CITY),
+        "stg_sales": (staging.stg_sales(job.table("sales_raw", "sales_raw_daily"), job.keys), job.keys),
+    })
 
 
 def build_gold(job: Job) -> None:
-    job.save(weather.mart_weather_daily(job.table("staging", "stg_weather")), "marts", "mart_weather_daily", CITY)
-    mart = demand.mart_demand_features(
-        job.placed(job.table("staging", "stg_sales")), job.table("marts", "mart_weather_daily"), job.keys
-    )
-    job.save(mart, "marts", "mart_demand_features", job.keys)
-    _require(job, "marts", ["mart_weather_daily", "mart_demand_features"])
+    wx = cut_lineage(weather.mart_weather_daily(job.table("staging", "stg_weather")))
+    mart = demand.mart_demand_features(job.placed(job.table("staging", "stg_sales")), wx, job.keys)
+    _publish(job, "marts", {"mart_weather_daily": (wx, CITY), "mart_demand_features": (mart, job.keys)})
 
 
 def build_forecasts(job: Job) -> DataFrame:
@@ -133,7 +144,7 @@ def build_recommendations(job: Job) -> None:
     wx, mart = job.table("marts", "mart_weather_daily"), job.table("marts", "mart_demand_features")
     dates = recommend.resolve_dates(job.selection, forecasts, wx, mart, job.keys)
     context = recommend.recommendation_context(forecasts, wx, mart, job.keys, dates)
-    texts = recommend.generate(recommend.with_prompt(context), job.answer, job.retries, job.wait)
+    texts = recommend.generate(recommend.with_prompt(context), job.answer, job.retries, job.wait, job.parallelism)
     texts = texts.select(*job.keys, "date", "prompt", "recommendation")
     # Sorting runs after the calls, so it cannot repeat one.
     job.save(texts, "marts", "mart_ai_recommendations", job.keys)

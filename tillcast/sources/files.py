@@ -12,7 +12,8 @@ from tillcast.operators.reshape import DAY_PREFIX, weather_rows
 def read_sales_wide(spark: SparkSession, path: str) -> DataFrame:
     """Item rows with one column per day. Types come from the header: `d_*` integer, rest string.
 
-    FAILFAST, because the permissive default would turn a broken count into a silent NULL.
+    FAILFAST, because the permissive default would turn a broken count into a silent NULL, and every file's
+    header is compared, because columns in another order would silently change places.
     """
     header = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([
@@ -23,6 +24,7 @@ def read_sales_wide(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
         .option("maxColumns", max(20480, 2 * len(header)))
         .csv(path)
     )
@@ -33,7 +35,9 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     header = spark.read.option("header", True).csv(path).columns
     declared = {f.name: f.dataType for f in schemas.CALENDAR.fields}
     schema = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
-    rows = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    rows = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option(
+        "enforceSchema", False
+    ).csv(path)
     return rows.withColumn("event_name_1", null_if_na_token("event_name_1")).select(
         *[f.name for f in schemas.CALENDAR.fields]
     )

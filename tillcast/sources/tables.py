@@ -16,8 +16,13 @@ LAYERS = {
 }
 
 
-def write_bronze(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_bronze(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Replaces `path`, or with `by` only the folders (`city=...`) of the values that `df` has; a job that
+    fails leaves what was there."""
+    writer = df.write.mode("overwrite").option("compression", "snappy")
+    if by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.parquet(path)
 
 
 def table_name(layer: str, name: str) -> str:
@@ -83,8 +88,7 @@ def table_stats(df: DataFrame, by: Sequence[str] = (), city_col: str | None = No
     if city_col:
         metrics += [
             F.count_distinct(city_col).alias("cities"),
-            F.min(city_col).alias("first_city"),
-            F.max(city_col).alias("last_city"),
+            F.concat_ws(", ", F.array_sort(F.collect_set(city_col))).alias("city_names"),
         ]
     return df.groupBy(*by).agg(*metrics)
 
