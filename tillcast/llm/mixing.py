@@ -1,7 +1,7 @@
 """Mixing documents to target weights by soft membership, in DataFrame operations only.
 
 1. A labelled table trains a naive Bayes classifier over what is present: its domains are "toxic", "low"
-   (quality 0) and "clean"; features are hashed words, hashed word beginnings, and bins of length and
+   (quality 0) and "clean"; features are hashed words, hashed word beginnings, and a bin of length and
    repetition. A single absent feature says nothing, the absence of all of them is a feature. It learns from at most `labelled_rows` labelled documents (those with the smallest hashes) and keeps the
    `features` buckets that depend most, and clearly (chi-square of SURE, and of STRENGTH a document), on the domain. Every document gets domain posteriors.
 2. Rates. With tokens n_i (words), posteriors p_id, domain totals T_d = sum n_i p_id and targets t_d, projected
@@ -32,7 +32,7 @@ LABELLED_ROWS = 20_000
 FEATURES = 2_000
 SMOOTHING = 10.0
 SURE = 30.0
-STRENGTH = 1.0
+STRENGTH = 3.0
 STEPS = 40
 CLOSE = 1e-4
 _WORDS = r"[\x20\x09-\x0D]+"
@@ -50,15 +50,24 @@ def _featured(docs: DataFrame, *columns: str) -> DataFrame:
         *columns, F.size("words").cast("long").alias("tokens"), F.array_distinct("words").alias("words")
     )
     starts = F.transform("words", lambda w: F.concat(F.lit(" "), F.substring(w, 1, 4)))
-    bins = F.array(
-        F.concat(F.lit("  length "), F.floor(F.log2(F.col("tokens") + 1)).cast("string")),
-        F.concat(F.lit("  repeats "), F.floor(10 * F.size("words") / F.greatest("tokens", F.lit(1))).cast("string")),
-    )
-    bucket = F.transform(F.concat("words", starts, bins), lambda w: F.xxhash64(w))
+    # Long texts repeat more of their words, so length and repetition make one feature.
+    shape = F.array(F.concat_ws(
+        " ", F.lit("  shape"), F.floor(F.log2(F.col("tokens") + 1)).cast("string"),
+        F.floor(10 * F.size("words") / F.greatest("tokens", F.lit(1))).cast("string"),
+    ))
+    bucket = F.transform(F.concat("words", starts, shape), lambda w: F.xxhash64(w))
     some = F.when(F.col("tokens") > 0, F.array_distinct(bucket))
     return counted.select(*columns, "tokens", F.explode_outer(some).alias("bucket"))
 
 
+def _copy_key():
+    """The smallest hash of a text's long words: near copies mostly share it and count as one in training, or every
+    word of a text with many copies would look typical of its domain."""
+    text = F.lower(F.coalesce("text", F.lit("")))
+    long = F.filter(F.split(text, _WORDS), lambda w: F.length(w) > 8)
+    return F.coalesce(F.array_min(F.transform(long, lambda w: F.xxhash64(w))), F.xxhash64(text))
+
+
 def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
     """The classifier, by `kind`: "feature" rows have a bucket and for each domain the gain in log-likelihood
     if it is present, "none" the gain if no such bucket is present, "prior" the domains' logarithmic priors."""
@@ -68,10 +77,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
         .orderBy(F.xxhash64("label_id"), "label_id").limit(labelled_rows)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text").join(F.broadcast(sample), "label_id")
-    seen = _featured(rows, "label_id", "domain")
+    seen = _featured(rows.withColumn("copy", _copy_key()), "label_id", "domain", "copy")
     of = {d: F.sum((F.col("domain") == d).cast("double")) for d in DOMAINS}
     counts = cut_lineage(
-        seen.filter("bucket is not null").groupBy("bucket").agg(*[of[d].alias(d) for d in DOMAINS])
+        seen.filter("bucket is not null").select("bucket", "domain", "copy").distinct().groupBy("bucket").agg(*[of[d].alias(d) for d in DOMAINS])
     )
     per = sample.join(docs.select(F.col("doc_id").cast("long").alias("label_id")).distinct(), "label_id", "left_semi")
     totals = {d: n or 0.0 for d, n in zip(DOMAINS, per.agg(*[of[d] for d in DOMAINS]).first())}
