@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import WordCache, map_rows
+from tillcast.session import cut_lineage
 
 BLOCK = 1024
 ALL = "(all)"
@@ -128,4 +129,5 @@ def truncated_total(limits: DataFrame, limit: int) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    return limit_table(length_histogram(document_tokens(docs, tokenizer)))
+    # Sums inside blocks and over them read the histogram twice; encoding is done once.
+    return limit_table(cut_lineage(length_histogram(document_tokens(docs, tokenizer))))
