@@ -1,0 +1,26 @@
+"""The pipeline's mixture keeps clean documents whole, however few toxic and low ones there are."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tillcast.llm import mixing
+
+
+@pytest.mark.parametrize("toxic, low", [(0, 0), (1, 1), (1, 60), (0, 60)])
+def test_scarce_domains_do_not_thin_clean_documents(spark, toxic, low):
+    kinds = [("clean", 0.999, 0.0008, 0.0002)] * 400 + [("low", 0.01, 0.98, 0.01)] * low + [("toxic", 0.01, 0.01, 0.98)] * toxic
+    rows = [(i, k, 100, *p) for i, (k, *p) in enumerate(kinds)]
+    scored = spark.createDataFrame(rows, "doc_id long, kind string, tokens long, p_clean double, p_low double, p_toxic double")
+    rate, _ = mixing.fit_rates(scored, most=1.0, whole="clean")
+    mean = {r.kind: r.r for r in scored.withColumn("r", rate).groupBy("kind").agg(F.avg("r").alias("r")).collect()}
+    assert mean["clean"] > 0.98
+    if low == 60:
+        assert mean["low"] < 0.4  # 60 documents where about 8 are the target
+
+
+def test_stage_without_toxic_or_low_documents_keeps_nearly_all(spark, tmp_path):
+    rows = [(i, "s1", " ".join(f"word{(i * 7 + k) % 50}" for k in range(60))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.mixing_stage(spark, docs, str(tmp_path)).count() > 290

@@ -131,9 +131,11 @@ def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float] | None = None, total_tokens: float | None = None,
-              most: float | None = None, steps: int = STEPS, close: float = CLOSE):
+              most: float | None = None, steps: int = STEPS, close: float = CLOSE, whole: str | None = None):
     """(`rate` as a column of `scored`, report). `total_tokens` is by default the most that needs no domain more
-    than once; `most` bounds the rates from above. Ends when all domains are within `close` of their target."""
+    than once, or with `whole` what takes that domain once; `most` bounds the rates from above. A domain with fewer
+    tokens than its target then falls short. Ends when all domains are within `close` of their target, or as near as
+    they get."""
     targets = targets or TARGETS
     names = list(targets)
 
@@ -147,7 +149,12 @@ def fit_rates(scored: DataFrame, targets: dict[str, float] | None = None, total_
     weight = sum(targets[d] for d in names)
     share = {d: targets[d] / weight for d in names}
     total = total_tokens if total_tokens is not None else min((held[d] / share[d] for d in names), default=0.0)
+    if total_tokens is None and whole in names:
+        total = held[whole] / share[whole]
     goal = {d: total * share[d] for d in names}
+    if whole is not None and most is not None:
+        # What a scarce domain lacks must not draw in documents of other domains that hold a trace of it.
+        goal = {d: min(goal[d], most * held[d]) for d in names}
     now, done = held, 0
     for done in range(1, steps + 1):
         if all(abs(now[d] - goal[d]) <= close * goal[d] for d in names):
@@ -156,7 +163,9 @@ def fit_rates(scored: DataFrame, targets: dict[str, float] | None = None, total_
         rate = F.greatest(F.lit(0.0), rate - move)
         if most is not None:
             rate = F.least(F.lit(float(most)), rate)
-        now = sums(rate)
+        before, now = now, sums(rate)
+        if all(abs(now[d] - before[d]) <= close * close * held[d] for d in names):
+            break
     report = {d: {"available": held[d], "target": goal[d], "expected": now[d]} for d in names}
     return rate, {"steps": done, "domains": report}
 
@@ -167,10 +176,11 @@ def _copies(rate):
 
 
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, total_tokens: float | None = None,
-            most: float | None = None, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
+            most: float | None = None, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES,
+            whole: str | None = None) -> DataFrame:
     """One row per document: doc_id, source, tokens, p_<domain>, rate, copies."""
     scored = posteriors(docs, labels, labelled_rows, features)
-    rate, _ = fit_rates(scored, targets, total_tokens, most)
+    rate, _ = fit_rates(scored, targets, total_tokens, most, whole=whole)
     return scored.withColumn("rate", rate).withColumn("copies", _copies(F.col("rate")))
 
 
