@@ -1,0 +1,15 @@
+"""Quality decisions reach the rows they were made for; lines of any length are counted."""
+
+from tillcast.llm import line_quality
+
+
+def words(seed, n=60):
+    return " ".join(f"w{seed}x{k}" for k in range(n))
+
+
+def test_rows_without_or_with_shared_doc_id_have_their_own_decision(spark):
+    rows = [(None, "a", words(1)), (None, "a", "too short"), (None, None, words(2)), (7, "a", words(3)), (7, "a", "short"),
+            (7, "b", words(4)), (8, "a", None), (8, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    kept = {tuple(r) for r in line_quality.keep_documents(docs).collect()}
+    assert kept == {rows[0], rows[2], rows[3], rows[5]}

@@ -74,16 +74,23 @@ def measure(text: str | None):
             xxhash.xxh64_intdigest(data, 1) - (1 << 63), list(lines), list(lines.values()))
 
 
+def _row_key():
+    """Hash of all that a decision depends on, and of doc_id, so that copies of a text are spread: rows of one key
+    have one decision."""
+    parts = [F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text")]
+    return F.xxhash64(*[part.isNull() for part in parts], *parts).alias("row_key")
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """The counts and lines of every row, under a row number `row`, evaluated once."""
 
     def make():
         count = measure
-        return lambda doc_id, source, text: ((doc_id, source, *count(text)),)
+        return lambda doc_id, source, key, text: ((doc_id, source, key, *count(text)),)
 
     rows = map_rows(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text"), make,
-        doc_id="long", source="string", n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long",
+        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _row_key(), "text"), make,
+        doc_id="long", source="string", row_key="long", n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long",
         n_repeat_words="long", text_hash="long", line_keys="array<long>", line_words="array<long>",
     )
     return cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
@@ -105,6 +112,10 @@ def boilerplate(measured: DataFrame, least: int = LEAST, share: float = SHARE) -
 def quality_rules(docs: DataFrame, least: int = LEAST, share: float = SHARE,
                   keep_share: float = KEEP_SHARE) -> DataFrame:
     """One row per document: the base counts, base_failed, boilerplate words, kept."""
+    return _judged(docs, least, share, keep_share).drop("row_key")
+
+
+def _judged(docs: DataFrame, least: int = LEAST, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     measured = measures(docs)
     lines = cut_lineage(boilerplate(measured, least, share))
     common = lines.select(F.col("source").alias("host"), "line")
@@ -120,7 +131,7 @@ def quality_rules(docs: DataFrame, least: int = LEAST, share: float = SHARE,
     depleted = F.col("n_words") - cut < keep_share * F.col("n_words")
     return measured.join(removed, "row", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), cut.alias("n_boilerplate_words"), (~failed & ~depleted).alias("kept"),
+        failed.alias("base_failed"), cut.alias("n_boilerplate_words"), (~failed & ~depleted).alias("kept"), "row_key",
     )
 
 
@@ -153,7 +164,7 @@ def without_boilerplate(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of `docs` that the rules keep, unchanged. Rows without doc_id cannot be told apart and go
-    with those that are rejected; rows that share a doc_id stay if one of them is kept."""
-    kept = quality_rules(docs, **limits).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """The rows of `docs` that the rules keep, unchanged, each by its own text and host, with or without doc_id."""
+    key = fresh(docs, "row_key")
+    kept = _judged(docs, **limits).filter("kept").select(F.col("row_key").alias(key))
+    return docs.withColumn(key, _row_key()).join(kept, key, "left_semi").select(*docs.columns)
