@@ -4,7 +4,9 @@ from tillcast.llm import line_quality
 
 
 def words(seed, n=60):
-    return " ".join(f"w{seed}x{k}" for k in range(n))
+    """Digits are alike after normalising, so letters tell texts apart."""
+    name = "".join(chr(97 + int(c)) for c in str(seed))
+    return " ".join(f"{name}x{k}" for k in range(n))
 
 
 def test_rows_without_or_with_shared_doc_id_have_their_own_decision(spark):
@@ -13,3 +15,15 @@ def test_rows_without_or_with_shared_doc_id_have_their_own_decision(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
     kept = {tuple(r) for r in line_quality.keep_documents(docs).collect()}
     assert kept == {rows[0], rows[2], rows[3], rows[5]}
+
+
+def test_long_lines_of_many_documents_are_boilerplate(spark):
+    paragraph = words(9, 200)
+    rows = [(i, "a", f"{paragraph}\nown line {words(100 + i, 5)}") for i in range(30)]
+    rows += [(100 + i, "a", words(500 + i)) for i in range(30)] + [(200, "b", f"{paragraph}\nelsewhere")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: r for r in line_quality.quality_rules(docs).collect()}
+    assert all(got[i].n_boilerplate_words == 200 and not got[i].kept for i in range(30))
+    assert all(got[100 + i].kept for i in range(30)) and got[200].kept
+    clean = {r.doc_id: r.text for r in line_quality.without_boilerplate(docs, line_quality.boilerplate(line_quality.measures(docs))).collect()}
+    assert clean[0].startswith("own line") and clean[200].startswith(paragraph)

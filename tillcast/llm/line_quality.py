@@ -5,9 +5,8 @@ Base rules look at a document alone. The method then hashes every normalised lin
 the host's limit for boilerplate, and rejects documents that are depleted without them.
 
 A limit is the larger of `least` documents and `share` of the host's documents; both counts take
-documents of one text once, so copies do not turn a text into boilerplate. Lines of more than
-`line_words` words are passages, not boilerplate, and never removed. A document is depleted if less
-than `keep_share` of its words remain.
+documents of one text once, so copies do not turn a text into boilerplate. Lines of every length
+count. A document is depleted if less than `keep_share` of its words remain.
 
 Defined results: a null text has no words and fails the base rules. A null source is a host of its own.
 Repeated rows are returned as often as they come. Empty tables give empty tables.
@@ -26,7 +25,6 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 LEAST = 20
 SHARE = 0.02
-LINE_WORDS = 40
 KEEP_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"
 _ZERO_DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -66,9 +64,8 @@ def measure(text: str | None):
         if line in seen:
             dup_lines += 1
         seen.add(line)
-        if len(inside) <= LINE_WORDS:
-            key = line_key(inside)
-            lines[key] = lines.get(key, 0) + len(inside)
+        key = line_key(inside)
+        lines[key] = lines.get(key, 0) + len(inside)
     n_symbols = sum(map(text.count, SYMBOLS))
     return (len(words), word_chars, n_symbols, dup_lines, repeated_words(words),
             xxhash.xxh64_intdigest(data, 1) - (1 << 63), list(lines), list(lines.values()))
@@ -141,12 +138,12 @@ def without_boilerplate(docs: DataFrame, lines: DataFrame) -> DataFrame:
     numbered = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()))
 
     def make():
-        key, most = line_key, LINE_WORDS
+        key = line_key
 
         def each(number, source, text):
             for at, line in enumerate((text or "").split("\n")):
                 words = line.encode().split()
-                yield number, source, at, key(words) if 0 < len(words) <= most else None, line
+                yield number, source, at, key(words) if words else None, line
 
         return each
 
