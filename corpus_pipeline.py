@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over `documents`, each written as Parquet and read by the next. All but the last
 return the columns they were given; a stage works on all rows its predecessor kept."""
 
-from tillcast.llm import exact_dedup, line_quality, mixing, near_copies, packing
+from tillcast.llm import exact_dedup, line_quality, mixing, packing, simhash
 from tillcast.llm.common import table
 from tillcast.session import shared_folder
 
@@ -17,8 +17,9 @@ def exact_dedup_stage(spark, docs, sf_dir):
 
 
 def near_dedup_stage(spark, docs, sf_dir):
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
-    return near_copies.deduplicate(docs)
+    """One document of each group of near copies stays: fingerprints at two or fewer differing bits, linked by the
+    SimHash operator's byte-position index."""
+    return simhash.deduplicate(docs)
 
 
 def mixing_stage(spark, docs, sf_dir):
