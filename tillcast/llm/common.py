@@ -9,9 +9,13 @@ SPACES = " \t\n\x0b\x0c\r"
 
 _ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
+    "binary": pa.binary(),
     "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()),
 }
 
+# Over how many salts a key's rows are dealt.
+SALTS = 32
+
 # Rows of a batch that are Python objects at a time.
 SLICE_ROWS = 512
 
@@ -71,3 +75,12 @@ def squeezed(text):
     for space in SPACES:
         text = F.replace(text, F.lit(space), F.lit(""))
     return text
+
+
+def salted_lookup(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """`rows` left-joined with `found`, which has one narrow row a key: a key's rows are dealt over SALTS salts, and `found`
+    is repeated for each."""
+    salt = fresh(rows, "salt")
+    many = found.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return dealt.join(many, [key, salt], "left").drop(salt)

@@ -53,4 +53,12 @@ ORACLE_SQL = {
                 and n_words - n_boilerplate_words >= 0.5 * n_words as kept
         from m
     """,
+    "op13_warc_segments": """
+        with p as (select page_id, coalesce(html, '') as h from pages),
+        f as (select *, min(page_id) over (partition by h) as low from p)
+        select page_id, strlen(h) as payload_bytes, sha256(h) as payload_digest,
+            case when strlen(h) >= 100 and page_id is distinct from low and low is not null then 'revisit' else 'response' end as record_type,
+            case when strlen(h) >= 100 and page_id is distinct from low then low end as refers_to
+        from f
+    """,
 }

@@ -1,6 +1,8 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
-from tillcast.llm import exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, token_counts, toxicity, url_rules
+from tillcast.llm import (
+    exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, token_counts, toxicity, url_rules, warc,
+)
 from tillcast.llm.common import table
 
 QUERIES = {}
@@ -59,3 +61,9 @@ def op6_rule_ensemble(spark, sf_dir):
 @query
 def op2_noisy_channel_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_warc_segments(spark, sf_dir):
+    index = warc.round_trip(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
