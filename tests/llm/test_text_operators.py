@@ -1,5 +1,6 @@
 """Line rules, token counts, packing: beside brute force and exact round trips."""
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -132,8 +133,63 @@ def test_word_ids_are_those_of_whole_texts(documents):
         "<|endoftext|> a<|startoftext|>b.", "it's DON'T. we'll's", "İ. ﬁ. Ǆ. ΑΣ. क़. é. é.", "x1y2. 3.14!", "a\tb\rc\x0bd\x1ce f", "", " ",
         "...a.. b,!? ###", "<|STARTOFTEXT|>.", "\U0001f600.", "straße. GROSS. ß.",
     ]
-    encode = packing.word_encoder(packing._read(packing.tokenizer_file()))
-    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == whole_ids(texts)
+    words = packing.SharedEncoder(packing._read(packing.tokenizer_file())).word_ids()
+    assert ids_of(words, texts) == whole_ids(texts)
+    assert ids_of(words, []) == [] and ids_of(words, [None, ""]) == [[], []]
+
+
+def ids_of(words, texts):
+    import pyarrow as pa
+
+    flat, ends = words.of(pa.array(texts, pa.string()))
+    return [part.tolist() for part in np.split(flat, ends)[: len(texts)]]
+
+
+def test_word_ids_outlive_their_generations():
+    from tokenizers import Tokenizer
+
+    words = packing.WordIds(Tokenizer.from_file(packing.tokenizer_file()), most=20)
+    texts = [f"same words, w{i % 7}x and own{i} Own{i}. ###" for i in range(60)]
+    assert [ids_of(words, [t])[0] for t in texts] == whole_ids(texts)
+    assert len(words.known) + len(words.older) < 80
+
+
+def test_shared_encoder_keeps_its_words():
+    shared = packing.SharedEncoder(packing._read(packing.tokenizer_file()))
+    assert shared.word_ids() is shared.word_ids()  # a worker's next task finds the same one
+    other = pickle.loads(pickle.dumps(shared))
+    assert other.made is None and ids_of(other.word_ids(), ["one two, one"]) == whole_ids(["one two, one"])
+
+
+def test_runs_are_whole_rows():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"doc_id": list(range(6)), "text": ["aaa", None, "b" * 50, "", "cc", "dddd"]}).slice(1)
+    got = [part.column(0).to_pylist() for part in packing._runs(batch, 10)]
+    assert sum(got, []) == [1, 2, 3, 4, 5] and max(map(len, got)) > 1
+
+
+@pytest.mark.parametrize("fit", ["dot", "norm"])
+def test_every_choice_is_the_best_fit(fit):
+    """Replays the choices beside all open bins: a piece goes to a bin of the best score, to a new one if none can take it."""
+    dice = np.random.default_rng(5)
+    lengths, capacity = dice.integers(1, 200, 400), np.array([200.0, 4, 40_000.0])
+    weights = np.array([1.0, 0.3, 0.2])
+    bins, offsets, opened = packing.vector_best_fit(lengths, capacity, weights, fit)
+    rest, filled = {}, Counter()
+    for at in np.argsort(-lengths, kind="stable"):
+        need = np.array([lengths[at], 1, lengths[at] ** 2]) / capacity
+        able = {b: r for b, r in rest.items() if (r >= need - 1e-12).all()}
+        chosen = int(bins[at])
+        if able:
+            score = {b: -(weights @ (r * need)) if fit == "dot" else weights @ ((r - need) ** 2) for b, r in able.items()}
+            assert chosen in able and score[chosen] <= min(score.values()) + 1e-12
+        else:
+            assert chosen not in rest
+        assert offsets[at] == filled[chosen]
+        filled[chosen] += int(lengths[at])
+        rest[chosen] = rest.get(chosen, np.ones(3)) - need
+    assert len(rest) == opened and max(filled.values()) <= 200
 
 
 def check_packing(packed, texts, length, most=None):

@@ -20,10 +20,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import map_rows
 from tillcast.session import cut_lineage
 
 LENGTH = 2048
@@ -31,6 +32,8 @@ END_ID = 0
 MAX_DOCUMENTS = 512
 WEIGHTS = (1.0, 0.05, 0.05)
 SHARD_PIECES = 16_000
+# Bytes of text whose words are looked up together.
+RUN_BYTES = 8_000_000
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -44,16 +47,21 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
-class WordIds(dict):
-    """Ids of words as little-endian 32-bit numbers. Words of letters are encoded many at a time, and an
-    ASCII word's capitals and closing punctuation do not make it a new word: this tokenizer lowers case and
-    always cuts between a letter and a sign. To be emptied at `most` words."""
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+class WordIds:
+    """Token ids of words. Words of letters are encoded many at a time, and capitals and closing punctuation do not
+    make an ASCII word new: this tokenizer lowers case and always cuts between a letter and a sign. Words are
+    kept in two generations of at least `most` words: when the younger one has that many the older one goes, and
+    words in use move over."""
 
     SIGNS = ".,;:!?*#$%&"
 
-    def __init__(self, tokenizer, most: int = 600_000):
-        super().__init__()
+    def __init__(self, tokenizer, most: int = 400_000):
         self.tokenizer, self.most = tokenizer, most
+        self.known, self.older = {}, {}  # word -> ids as little-endian 32-bit numbers
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -69,75 +77,132 @@ class WordIds(dict):
         if len(stops) == len(words):
             data = ids.tobytes()
             bounds = (4 * stops).tolist()
-            for word, start, stop in zip(words, [0, *bounds], bounds):
-                self[word] = data[start:stop]
+            self.known.update(zip(words, map(data.__getitem__, map(slice, [0, *bounds[:-1]], bounds))))
         else:
             for word in words:
-                self[word] = self._ids(word).tobytes()
-
-    def add(self, words):
-        letters, others, made = set(), set(), []
-        for word in words:
-            stem = word.rstrip(self.SIGNS)
-            if "<" in word:
-                stem = low = word
-            else:
-                # Beyond Latin, or as in "İ", normalising can end a letter in a mark that joins the signs.
-                if len(stem) < len(word) and not (stem and stem[-1] < "\u0250" and stem[-1].lower().isalpha()):
-                    stem = word
-                low = stem.lower() if stem.isascii() else stem
-            if low not in self:
-                (letters if low.isalpha() else others).add(low)
-            if low != word:
-                made.append((word, low, word[len(stem):]))
+                self.known[word] = self._ids(word).tobytes()
+
+    def _new(self, words):
+        """Those of these different words that neither generation has; words of the older one move over."""
+        known, older = self.known, self.older
+        new = [word for word in words if word not in known]
+        if older:
+            known.update([(word, older[word]) for word in new if word in older])
+            new = [word for word in new if word not in known]
+        return new
+
+    def _add(self, words):
+        words = pa.array(words, pa.string())
+        stems = pc.utf8_rtrim(words, characters=self.SIGNS)
+        last = pc.utf8_slice_codeunits(stems, -1)
+        # Beyond Latin, or as in "\u0130", normalising can end a letter in a mark that joins the signs.
+        plain = [c for c in last.unique().to_pylist() if c and c < "\u0250" and c.lower().isalpha()]
+        cut = pc.and_(pc.is_in(last, pa.array(plain, pa.string())), pc.not_equal(stems, words))
+        cut = pc.and_not(cut, pc.match_substring(stems, "<"))
+        signed, bare = _strings(words.filter(cut)), _strings(stems.filter(cut))
+        signs = [text[len(stem):] for text, stem in zip(signed, bare)]
+        new = self._new(_strings(pc.if_else(cut, stems, words).unique()))
+        letters = [text for text in new if text.isalpha()]
         if letters:
             self._add_letters(letters)
-        others.update(signs for _, _, signs in made if signs not in self)
-        for word in others:
-            self[word] = self._ids(word).tobytes() if word else b""
-        for word, low, signs in made:
-            self[word] = self[low] + self[signs]
-
-
-def word_encoder(model: bytes):
-    """Function from a text to its ids as bytes. This tokenizer drops white space and no token, special or
-    not, spans it, so the ids of a text are those of its parts between spaces."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    ids = WordIds(Tokenizer.from_buffer(model))
-
-    def encode(text):
-        words = text.replace("\n", " ").split(" ")
-        if len(ids) > ids.most:
-            ids.clear()
-        new = [word for word in set(words) if word not in ids]
+        known = self.known
+        for text in self._new({*new, *signs}.difference(letters)):
+            known[text] = self._ids(text).tobytes() if text else b""
+        for text, stem, sign in zip(signed, bare, signs):
+            known[text] = known[stem] + known[sign]
+
+    def of(self, texts: pa.Array):
+        """(ids of all these texts, where each text's end). This tokenizer drops white space and no token, special or
+        not, spans it, so the ids of a text are those of its parts between spaces. Only special tokens depend on
+        case. Each different word is looked up once, the ids are put together by their places."""
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        parts = pc.ascii_split_whitespace(texts)
+        counts = parts.value_lengths().to_numpy(zero_copy_only=False)
+        coded = parts.flatten().dictionary_encode()
+        words, place = _strings(coded.dictionary), coded.indices.to_numpy()
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        new = self._new(words)
         if new:
-            ids.add(new)
-        return b"".join(map(ids.__getitem__, words))
-
-    return encode
+            self._add(new)
+        ids = list(map(self.known.__getitem__, words))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        sizes = size[place]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(start[place] - ends + sizes, sizes) + np.arange(total)
+        flat = np.frombuffer(b"".join(ids), "<u4")[at]
+        return flat, np.concatenate([[0], ends])[np.cumsum(counts)]
+
+
+class SharedEncoder:
+    """Word ids for a broadcast. A Python worker keeps what it got by broadcast from task to task, so it reads
+    the vocabulary once and its words stay known. Only the tokenizer file travels."""
+
+    def __init__(self, model: bytes):
+        self.model, self.made = model, None
+
+    def __getstate__(self):
+        return self.model
+
+    def __setstate__(self, model):
+        self.__init__(model)
+
+    def word_ids(self) -> WordIds:
+        if self.made is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+            from tokenizers import Tokenizer
+
+            self.made = WordIds(Tokenizer.from_buffer(self.model))
+        return self.made
+
+
+def _runs(batch: pa.RecordBatch, most: int = RUN_BYTES):
+    """Slices of a batch whose texts (second column) have about `most` bytes, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, until - at)
+        at = until
+
+
+def _cut(docs: DataFrame, model: bytes, length: int, end_id: int, last: str, kind: pa.DataType, make) -> DataFrame:
+    """doc_id, piece, start, length of every piece, and column `last`: `make` of the piece's ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(SharedEncoder(model))
+    fields = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), last: kind}
+    runs = _runs
+
+    def run(batches):
+        words = shared.value.word_ids()
+        for batch in batches:
+            for part in runs(batch):
+                flat, ends = words.of(part.column(1))
+                flat, ends = np.insert(flat, ends, end_id), ends + np.arange(1, len(ends) + 1)
+                sizes = np.diff(ends, prepend=0)
+                counts = -(-sizes // length)
+                row = np.repeat(np.arange(len(ends)), counts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                start = piece * length
+                held = np.minimum(sizes[row] - start, length)
+                begin = (ends - sizes)[row] + start
+                made = [make(flat[a:b]) for a, b in zip(begin.tolist(), (begin + held).tolist())]
+                columns = [part.column(0).take(pa.array(row)), piece.astype(np.int32), start, held, made]
+                yield pa.RecordBatch.from_arrays(
+                    [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, fields.values())], names=list(fields)
+                )
+
+    names = {pa.int64(): "long", pa.int32(): "int"}
+    ddl = ", ".join(f"`{name}` {names.get(t, 'array<int>')}" for name, t in fields.items())
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ddl)
 
 
 def pieces(docs: DataFrame, model: bytes, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece."""
-    end, step = int(end_id).to_bytes(4, "little"), 4 * length
-
-    def make():
-        encode = word_encoder(model)
-
-        def each(doc_id, text):
-            ids = encode(text or "") + end
-            for piece, at in enumerate(range(0, len(ids), step)):
-                part = ids[at : at + step]
-                yield doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
-
-        return each
-
-    return map_rows(
-        docs.select(F.col("doc_id").cast("long"), "text"), make,
-        doc_id="long", piece="int", start="long", length="long", ids_crc32="long",
-    )
+    return _cut(docs, model, length, end_id, "ids_crc32", pa.int64(), lambda ids: zlib.crc32(ids.tobytes()))
 
 
 def vector_best_fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, fit: str):
@@ -217,20 +282,9 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, length: int =
 
 def sequence_ids(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """The packed sequences themselves: sequence_id and token ids, for documents with unique doc_id."""
-    model, end, step = _read(tokenizer or tokenizer_file()), int(end_id).to_bytes(4, "little"), 4 * length
-
-    def make():
-        encode = word_encoder(model)
-
-        def each(doc_id, text):
-            ids = encode(text or "") + end
-            for piece, at in enumerate(range(0, len(ids), step)):
-                yield doc_id, piece, np.frombuffer(ids[at : at + step], "<u4").tolist()
-
-        return each
-
-    tokens = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, doc_id="long", piece="int", ids="array<int>")
-    parts = packed.join(tokens, ["doc_id", "piece"]).groupBy("sequence_id").agg(
+    model = _read(tokenizer or tokenizer_file())
+    tokens = _cut(docs, model, length, end_id, "ids", pa.list_(pa.int32()), lambda ids: ids.astype(np.int32))
+    parts = packed.join(tokens.select("doc_id", "piece", "ids"), ["doc_id", "piece"]).groupBy("sequence_id").agg(
         F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts")
     )
     return parts.select("sequence_id", F.flatten(F.col("parts.ids")).alias("ids"))
