@@ -1,0 +1,128 @@
+"""Spelling variants beside brute force over all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tillcast.llm import spelling
+
+from conftest_llm import values
+
+
+def near(a, b):
+    """Differ by exactly one inserted, deleted or replaced code point."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_words(rows, noise=True):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if noise and h % 97 == 0:
+                i = h % len(word)
+                word = word[:i] + word[i + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+
+
+def brute(counts):
+    words, out = sorted(counts), []
+    keys = {}
+    for w in words:  # two words are near exactly if they share a form with one letter left out or masked
+        for i in range(len(w)):
+            keys.setdefault(w[:i] + w[i + 1 :], set()).add(w)
+            keys.setdefault(w[:i] + "\0" + w[i + 1 :], set()).add(w)
+        keys.setdefault(w, set()).add(w)
+    around = {w: set() for w in words}
+    for group in keys.values():
+        for a in group:
+            around[a] |= {b for b in group if b != a and b not in around[a] and near(a, b)}
+    form = {}
+    for w in words:
+        best = min(around[w], key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * counts[w] else None
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, counts[w], len(around[w]), counts.get(form[w])))
+    return sorted(out, key=lambda r: tuple((v is not None, str(type(v)), v) for v in r))
+
+
+def test_documents_beside_brute_force(spark, documents, edge_docs, edge_rows):
+    docs = documents.select("doc_id", "text").union(edge_docs.select("doc_id", "text"))
+    want = brute(brute_words([(r.doc_id, r.text) for r in docs.collect()]))
+    assert values(spelling.variants(docs, spelling.typing_noise)) == want
+    assert sum(r[1] is not None for r in want) > 20
+
+
+def made_words(seed, letters="abcéß"):
+    dice = random.Random(seed)
+    words = {"".join(dice.choice(letters) for _ in range(dice.choice([5, 5, 6, 7]))) for _ in range(150)}
+    words |= {"x" * n for n in (5, 6, 7, 8)} | {"y" * 200 + c for c in "abz"} | {"y" * 199 + "a", "z" * 70, "z" * 69, "z" * 63, "z" * 64, "z" * 65}
+    return {w: dice.choice([3, 3, 4, 6, 12, 25, 50]) for w in words}
+
+
+@pytest.mark.parametrize("filter_bytes", [spelling.FILTER_BYTES, 150])
+def test_dense_words_beside_brute_force(spark, filter_bytes):
+    counts = made_words(1)
+    rows = [(i, f"{w} " * n) for i, (w, n) in enumerate(counts.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = spelling.variants(docs, filter_bytes=filter_bytes)
+    assert values(got, "word", "form", "root", "n", "n_near", "form_n") == brute(brute_words(rows, noise=False))
+
+
+def test_long_chains_of_forms(spark):
+    words = ["aaaaa" + "b" * i for i in range(9)]
+    rows = [(i, f"{w} " * 3 * 2**i) for i, w in enumerate(words)]
+    got = {r.word: r for r in spelling.variants(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {r.root for r in got.values()} == {words[-1]} and got[words[0]].form == words[1] and got[words[-1]].form is None
+
+
+def test_edit_hashes_are_those_of_the_edited_words():
+    words, letters = ["abcde", "zzzzz", "aébßa"], np.array(sorted(map(ord, "abzéß")), np.uint64)
+
+    class Every:
+        def admitted(self, hashes, length):
+            seen.append((hashes.copy(), length))
+            return np.arange(len(hashes))
+
+    seen = []
+    edits = list(spelling._edits(words, letters, Every()))
+    hashes = np.concatenate([h for h, _ in seen])
+    assert len(edits) == len(hashes)
+    for (row, edited), have in zip(edits, hashes):
+        assert near(words[row], edited)
+        assert spelling._mixed(spelling.word_hashes(spelling._codes([edited])))[0] == have
+    assert len({(r, e) for r, e in edits}) == len(edits)
+
+
+def test_filters_hold_every_word_and_few_others(spark):
+    words = [f"{i:x}".replace("0", "g") + "wort" for i in range(5_000)]
+    vocabulary = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    sizes = Counter(min(len(w), spelling.LENGTHS) for w in words)
+    bloom = spelling.filters(vocabulary, sizes)
+
+    def admits(words):
+        return sum(
+            len(bloom.admitted(spelling._mixed(spelling.word_hashes(spelling._codes(same))), n)) for n, same in spelling._by_length(words)
+        )
+
+    assert admits(words) == len(words) and admits([w[:-1] + "x" for w in words]) < 20
+
+
+def test_counts_flush_and_edges(spark, monkeypatch, edge_docs, edge_rows, no_docs):
+    monkeypatch.setattr(spelling, "_FLUSH", 50)
+    got = spelling.variants(edge_docs, spelling.typing_noise)
+    assert values(got) == brute(brute_words([r[:2] for r in edge_rows]))
+    assert spelling.variants(no_docs, spelling.typing_noise).count() == 0

@@ -1,7 +1,8 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
 from tillcast.llm import (
-    exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, token_counts, toxicity, url_rules, warc,
+    exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, spelling, token_counts, toxicity,
+    url_rules, warc,
 )
 from tillcast.llm.common import table
 
@@ -67,3 +68,8 @@ def op2_noisy_channel_toxicity(spark, sf_dir):
 def op13_warc_segments(spark, sf_dir):
     index = warc.round_trip(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_bloom_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), spelling.typing_noise)
