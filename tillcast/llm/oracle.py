@@ -61,4 +61,20 @@ ORACLE_SQL = {
             case when strlen(h) >= 100 and page_id is distinct from low then low end as refers_to
         from f
     """,
+    "op12_four_russians": """
+        with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+              from embeddings where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id as anchor_id, c.vec_id as id, a.label = c.label as same,
+                cast(list_inner_product(a.q, c.q) as bigint) as score
+              from v a join v c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+        p as (select anchor_id, id as positive_id, score as positive_score from s where same
+              qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+        n as (select p.*, s.id as negative_id, s.score as negative_score,
+                cast(row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.id) as integer) as rank
+              from p join s on p.anchor_id = s.anchor_id and not s.same
+                and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 3
+    """,
 }

@@ -1,8 +1,10 @@
 """Registered queries: each operator with production parameters on its whole table."""
 
+from pyspark.sql import functions as F
+
 from tillcast.llm import (
-    exact_dedup, html_density, line_quality, mixing, packing, rule_ensemble, simhash, spelling, token_counts, toxicity,
-    url_rules, warc,
+    exact_dedup, hard_negatives, html_density, line_quality, mixing, packing, rule_ensemble, simhash, spelling,
+    token_counts, toxicity, url_rules, warc,
 )
 from tillcast.llm.common import table
 
@@ -73,3 +75,12 @@ def op13_warc_segments(spark, sf_dir):
 @query
 def op11_bloom_spelling(spark, sf_dir):
     return spelling.variants(table(spark, sf_dir, "documents"), spelling.typing_noise)
+
+
+@query
+def op12_four_russians(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), moved.alias("label"), F.col("embedding").alias("vector")
+    )
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0)
