@@ -144,3 +144,16 @@ def test_means_are_exact(spark, days):
     pair = [(d, "LA", t, 5.0, None, None, 1) for d, t in zip(days(2), (15.1, 15.2))]
     mart = weather.mart_weather_daily(spark.createDataFrame(pair, WEATHER))
     assert column(mart, ["date"], "rolling_avg_temp_7d") == [15.1, 15.2]
+
+
+def test_densify_dates_fills_the_days_of_each_series(spark):
+    rows = [("s", "2016-01-01", 7), ("s", "2016-01-04", 1), ("t", "2016-02-28", 2), ("t", "2016-03-01", None), (None, "2016-05-01", 3), ("u", None, 4)]
+    df = spark.createDataFrame(rows, "store_id string, date string, units_sold int").withColumn("date", F.col("date").cast("date"))
+    got = demand.densify_dates(df, ["store_id"])
+    assert got.columns == df.columns
+    found = {(r.store_id, str(r.date)): r.units_sold for r in got.collect()}
+    assert found == {
+        ("s", "2016-01-01"): 7, ("s", "2016-01-02"): None, ("s", "2016-01-03"): None, ("s", "2016-01-04"): 1, ("t", "2016-02-28"): 2,
+        ("t", "2016-02-29"): None, ("t", "2016-03-01"): None, (None, "2016-05-01"): 3,
+    }
+    assert demand.densify_dates(df.limit(0), ["store_id"]).count() == 0

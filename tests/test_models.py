@@ -149,3 +149,44 @@ def test_boosted_predictions_belong_to_their_rows(history):
     for r in rows[::37]:
         vector = Vectors.dense([float(r[f] or 0) for f in fv.WEATHER_FEATURES])
         assert got[(r.store_id, r.date)] == pytest.approx(model.predict(vector))
+
+
+def test_trainings_at_once_equal_those_one_after_the_other(history):
+    long, model = forecast_all(history, KEYS, CUTOFF, n_trees=3)
+    for name, columns in (("xgb_no_weather", fv.BASE_FEATURES), ("xgb_with_weather", fv.WEATHER_FEATURES)):
+        alone, trained = boosted.forecast_boosted(history, KEYS, columns, CUTOFF, n_trees=3)
+        got = long.filter(F.col("model") == name).select(*KEYS, "date", F.col("predicted").alias("prediction"))
+        assert got.count() == alone.count() and got.exceptAll(alone).count() == 0
+    assert trained.toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]  # after the line with the name
+
+
+def test_importance_follows_from_the_nodes(spark, history):
+    _, model = boosted.forecast_boosted(history, KEYS, fv.WEATHER_FEATURES, CUTOFF, n_trees=4)
+    nodes = boosted.tree_nodes(model, spark)
+    assert nodes.select("tree").distinct().count() == 4
+    assert nodes.filter("feature is null").count() == nodes.filter("feature is not null").count() + 4  # binary trees
+    known = {r.feature: r for r in boosted.feature_importance(history, model, fv.WEATHER_FEATURES).collect()}
+    again = {r.feature: r for r in boosted.importance_from_nodes(nodes, fv.WEATHER_FEATURES).collect()}
+    assert known.keys() == again.keys()
+    for name, row in known.items():
+        assert again[name].importance == pytest.approx(row.importance, abs=1e-12)
+        assert (again[name]["rank"], again[name].feature_group) == (row["rank"], row.feature_group)
+
+
+@pytest.mark.parametrize("regressors", [(), tuple(fv.WEATHER_REGRESSORS)])
+def test_fit_is_optimal_and_recomposes(history, regressors, monkeypatch):
+    design = seasonal.seasonal_design(history, KEYS, CUTOFF, regressors)
+    fitted = seasonal.coefficients(history, KEYS, CUTOFF, regressors).cache()
+    assert fitted.count() == 2 * (1 + 27 + 6 + 20 + len(regressors))
+    gradient = seasonal.ridge_gradient(design, fitted, KEYS)
+    assert gradient.count() == 2 * (27 + 6 + 20 + len(regressors))
+    assert gradient.agg(F.max(F.abs("gradient"))).first()[0] < 1e-7
+    # Other coefficients are no optimum.
+    moved = fitted.withColumn("value", F.col("value") * F.when(F.col("part") == "weekly", 1.01).otherwise(1.0))
+    assert seasonal.ridge_gradient(design, moved, KEYS).agg(F.max(F.abs("gradient"))).first()[0] > 1e-3
+    parts = seasonal.decompose(history, KEYS, CUTOFF, regressors)
+    again = seasonal.recomposed(design, fitted, KEYS).filter("not train").select(*KEYS, "date", *[F.col(p).alias(f"{p}_2") for p in seasonal.PARTS])
+    both = parts.join(again, [*KEYS, "date"])
+    assert both.count() == parts.count()
+    for p in seasonal.PARTS:
+        assert both.agg(F.max(F.abs(F.col(p) - F.col(f"{p}_2")) / (1 + F.abs(p)))).first()[0] < 1e-9

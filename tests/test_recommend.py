@@ -117,3 +117,33 @@ def test_dates_restrict_the_forecasts_first(inputs):
     assert only.count() == 2
     plan = recommend.recommendation_context(*inputs, KEYS, only.select("store_id", "date"), city="store_id")
     assert plan.filter(F.col("date") == date(2016, 1, 2)).count() == 2
+
+
+def test_stored_answers_are_not_asked_again(spark, tmp_path):
+    log, store = tmp_path / "calls", str(tmp_path / "answers")
+    log.mkdir()
+
+    def answer(prompt):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text(prompt)
+        if prompt == "bad" and len([f for f in log.iterdir() if f.read_text() == "bad"]) < 3:
+            raise ValueError("down")
+        return prompt.upper()
+
+    def called():
+        return sorted(f.read_text() for f in log.iterdir())
+
+    def run(prompts, retries=1):
+        df = spark.createDataFrame(list(enumerate(prompts)), "n int, prompt string").repartition(3)
+        out = recommend.generate_stored(df, answer, store, retries=retries, wait=0.0)
+        assert out.columns == ["n", "prompt", "recommendation"]
+        return [r.recommendation for r in out.orderBy("n").collect()]
+
+    assert run(["a", "b", "a", None, "bad"]) == ["A", "B", "A", None, "[Recommendation unavailable: down]"]
+    assert called() == ["a", "b", "bad"]  # equal prompts are asked once
+    assert run(["b", "c", "a"]) == ["B", "C", "A"] and called() == ["a", "b", "bad", "c"]
+    # A failed call is tried again by the next run, and then kept.
+    assert run(["bad", "c"], retries=2) == ["BAD", "C"] and run(["bad"]) == ["BAD"]
+    assert called().count("bad") == 3 and called().count("c") == 1
+    assert run([]) == []

@@ -63,3 +63,25 @@ def test_functions_reach_workers_that_lack_the_package(tmp_path):
         [sys.executable, "-I", "-c", textwrap.dedent(script)], cwd=tmp_path, capture_output=True, text=True, timeout=60
     )
     assert done.stdout.strip() == "3 characters", done.stderr
+
+
+def test_tasks_at_once_keep_settings_results_and_errors(spark):
+    import threading
+
+    from tillcast.session import at_once
+
+    meet, pools = threading.Barrier(2, timeout=60), {}
+
+    def task(name, n):
+        meet.wait()  # both run at the same time
+        pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return spark.range(n).count()
+
+    assert at_once(spark, one=lambda: task("one", 5), two=lambda: task("two", 7)) == {"one": 5, "two": 7}
+    assert pools == {"one": "one", "two": "two"} and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+    def fails():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        at_once(spark, good=lambda: 1, bad=fails)

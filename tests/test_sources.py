@@ -100,8 +100,7 @@ def test_unequal_arrays_fail(spark, tmp_path, changes):
 
 def test_bronze_round_trip_widens(spark, tmp_path):
     rows = files.read_weather_json(spark, payload(tmp_path / "w.json"), "LA")
-    path = files.bronze_weather_path(str(tmp_path), "Los Angeles", "2016-01-01", "2016-01-02")
-    assert path.endswith("/bronze/weather/los_angeles/weather_2016-01-01_2016-01-02.parquet")
+    path = str(tmp_path / "bronze" / "weather")
     tables.write_bronze(quality.conform(rows, schemas.BRONZE_WEATHER), path)
     stored = spark.read.parquet(path)
     assert dict(stored.dtypes)["temperature_max"] == "float"
@@ -124,3 +123,33 @@ def test_tables_are_replaced_and_described(spark):
     assert (stats.rows, stats.cities, stats.city_names) == (2, 2, "LA, NY")
     assert [r.city for r in tables.preview(stored, ["date"], 1).collect()] == ["LA"]
     assert [r.city for r in tables.preview(stored, ["date"], 1, last=True).collect()] == ["NY"]
+
+
+def test_bronze_has_a_bounded_number_of_folders(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    rows = spark.range(10_000).selectExpr(
+        "concat('s', id) as store_id", "'c' as cat_id", "date'2016-01-01' as date", "id as units_sold"
+    )
+    tables.write_bronze(rows, path, ["store_id", "cat_id"], buckets=16)
+    tables.write_bronze(rows.limit(0), path, ["store_id", "cat_id"], buckets=16)
+    folders = {f.name for f in (tmp_path / "sales").iterdir() if f.is_dir()}
+    assert len(folders) == 16 and all(f.startswith("bucket=") for f in folders)
+    files_before = {f: f.stat().st_mtime_ns for f in (tmp_path / "sales").rglob("*.parquet")}
+    # One series is brought again: its rows are replaced, all others stay, and other folders are not touched.
+    one = spark.sql("select 's77' as store_id, 'c' as cat_id, explode(array(date'2016-02-01', date'2016-02-02')) as date, 5L as units_sold")
+    tables.write_bronze(one, path, ["store_id", "cat_id"], buckets=16)
+    stored = files.read_bronze(spark, path, rows.schema)
+    assert stored.columns == rows.columns and stored.count() == 10_001
+    assert stored.filter("store_id <> 's77'").exceptAll(rows).count() == 0
+    assert sorted(str(r.date) for r in stored.filter("store_id = 's77'").collect()) == ["2016-02-01", "2016-02-02"]
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "sales").rglob("*.parquet")}
+    assert len({f.parent for f in set(files_before) ^ set(after)}) == 1
+
+
+def test_a_failing_write_leaves_bronze(spark, tmp_path):
+    path = str(tmp_path / "weather")
+    good = spark.createDataFrame([("A", 1), ("B", 2)], "city string, v int")
+    tables.write_bronze(good, path, ["city"])
+    with pytest.raises(Exception, match="broken"):
+        tables.write_bronze(good.withColumn("v", F.expr("if(city = 'B', raise_error('broken'), 9)").cast("int")), path, ["city"])
+    assert files.read_bronze(spark, path, good.schema).exceptAll(good).count() == 0

@@ -4,13 +4,13 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast import fixed_values as fv
 from tillcast.functions.expressions import feature_group
 from tillcast.operators.features import fill_zero, is_train
-from tillcast.session import cut_lineage
+from tillcast.session import cut_lineage, shared_folder
 
 
 ROWS_PER_PARTITION = 50_000
@@ -75,3 +75,29 @@ def feature_importance(df: DataFrame, model: GBTRegressionModel, features: Seque
 
 def top_features(importance: DataFrame, k: int = 10) -> DataFrame:
     return importance.filter(F.col("rank") <= k).orderBy("rank")
+
+
+def tree_nodes(model: GBTRegressionModel, spark: SparkSession) -> DataFrame:
+    """The forest as a table: tree, node, feature (position, NULL at a leaf), gain, rows. It is written with the model."""
+    folder = shared_folder(spark, "boosted-trees")
+    model.write().save(folder)
+    node = F.col("nodeData")
+    feature = node["split"]["featureIndex"]
+    return spark.read.parquet(f"{folder}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"), F.when(feature >= 0, feature).alias("feature"),
+        node["gain"].alias("gain"), node["impurityStats"][0].alias("rows"),
+    )
+
+
+def importance_from_nodes(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+    """`feature_importance` from the trees themselves: the gains of a feature's splits, weighted by the rows that each
+    split has, as a share of all; with a row for each feature."""
+    names = nodes.sparkSession.createDataFrame(list(enumerate(features)), "position int, feature string")
+    weight = nodes.filter("feature is not null").groupBy(F.col("feature").alias("position")).agg(
+        F.sum(F.col("gain") * F.col("rows")).alias("weight")
+    )
+    every = Window.partitionBy()
+    share = F.try_divide(F.coalesce("weight", F.lit(0.0)), F.sum("weight").over(every))
+    table = names.join(weight, "position", "left").select("feature", F.coalesce(share, F.lit(0.0)).alias("importance"))
+    rank = F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature"))
+    return table.select("*", feature_group("feature").alias("feature_group"), rank.alias("rank"))

@@ -61,3 +61,16 @@ def mart_demand_features(
     """
     joined = join_weather(sales, weather, keys, on)
     return with_sales_rolling(with_sales_lags(joined, keys), keys, include_current)
+
+
+def densify_dates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A row for every calendar day from a series' first to its last one, NULL where `df` has none, so that windows over
+    rows become windows over days. Rows without a date drop out. A series' days come from its range alone."""
+    span = df.groupBy(*keys).agg(F.min("date").alias("_first"), F.max("date").alias("_last")).filter("_first is not null")
+    days = span.select(
+        *[F.col(k).alias(f"_d_{k}") for k in keys],
+        F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias("_day"),
+    )
+    same = [F.col(f"_d_{k}").eqNullSafe(F.col(k)) for k in keys] + [F.col("_day") == F.col("date")]
+    own = {**{k: F.col(f"_d_{k}").alias(k) for k in keys}, "date": F.col("_day").alias("date")}
+    return days.join(df, same, "left").select(*[own.get(c, F.col(c)) for c in df.columns])

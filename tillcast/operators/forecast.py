@@ -12,7 +12,7 @@ from tillcast.operators.boosted import forecast_boosted
 from tillcast.operators.features import is_train
 from tillcast.operators.seasonal import forecast_seasonal
 from tillcast.operators.windows import whole_series
-from tillcast.session import cut_lineage
+from tillcast.session import at_once, cut_lineage
 
 
 def last_train_value(keys: Sequence[str], cutoff: str = fv.TRAIN_TEST_CUTOFF) -> Column:
@@ -46,8 +46,13 @@ def forecast_all(
     """(keys, date, model, actual, predicted, anomaly_flag) of all five models, and the boosted
     weather model. Predictions meet the actuals by key, never by row position."""
     features = cut_lineage(features)
-    boosted, _ = forecast_boosted(features, keys, fv.BASE_FEATURES, cutoff, n_trees)
-    boosted_weather, model = forecast_boosted(features, keys, fv.WEATHER_FEATURES, cutoff, n_trees)
+    # A training is thousands of tiny jobs one after the other, so both run at once.
+    trained = at_once(
+        features.sparkSession,
+        boosted=lambda: forecast_boosted(features, keys, fv.BASE_FEATURES, cutoff, n_trees),
+        boosted_weather=lambda: forecast_boosted(features, keys, fv.WEATHER_FEATURES, cutoff, n_trees),
+    )
+    (boosted, _), (boosted_weather, model) = trained["boosted"], trained["boosted_weather"]
     predictions = dict(zip(fv.MODEL_TITLES, [
         forecast_naive(features, keys, cutoff),
         forecast_seasonal(features, keys, cutoff),

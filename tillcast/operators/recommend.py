@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tillcast import fixed_values as fv
 from tillcast.functions import expressions as ex
 from tillcast.operators.evaluate import forecast_with_weather
+from tillcast.session import cut_lineage
+from tillcast.sources.files import has_files
 
 CONTEXT_WEATHER = [
     "temperature_max", "precipitation_sum", "anomaly_flag", "weather_description", "season",
@@ -139,33 +141,59 @@ def headline(df: DataFrame) -> DataFrame:
     return df.withColumn("headline", F.concat_ws("\n", units, weather, flags))
 
 
-def generate(
-    df: DataFrame,
-    fn: Callable[[str], str],
-    retries: int = fv.GENERATION_ATTEMPTS,
-    wait: float = fv.GENERATION_PAUSE_SECONDS,
-    parallelism: int | None = None,
-) -> DataFrame:
-    """Adds `recommendation = fn(prompt)`. After the last failed attempt the text says so instead.
+def _answered(df: DataFrame, fn: Callable[[str], str], retries: int, wait: float, parallelism: int | None) -> DataFrame:
+    """Adds `answer` (text, ok) to rows with a prompt. The calls are slow and few compared with the rows of any other
+    stage, and a join of few rows leaves few tasks, so they are spread over `parallelism` tasks, by default as many
+    as the session runs at a time. Only the prompt column travels to Python."""
 
-    Only the prompt column travels to Python. The calls are slow and few compared with the rows of any
-    other stage, and a join of few rows leaves few tasks, so they are spread over `parallelism` tasks, by
-    default as many as the session runs at a time.
-    """
-
-    def attempt(prompt: str) -> str:
+    def attempt(prompt: str | None) -> tuple[str | None, bool]:
         for number in range(1, retries + 1):
             try:
-                return fn(prompt)
+                return (None if prompt is None else fn(prompt)), True
             except Exception as error:
                 if number == retries:
-                    return fv.UNAVAILABLE_TEXT.format(error=error)
+                    return fv.UNAVAILABLE_TEXT.format(error=error), False
                 time.sleep(wait)
 
-    @F.pandas_udf("string")
-    def answers(prompts: pd.Series) -> pd.Series:
-        return prompts.map(attempt, na_action="ignore")
+    @F.pandas_udf("text string, ok boolean")
+    def answers(prompts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([attempt(p) for p in prompts], columns=["text", "ok"])
 
     df = df.repartition(parallelism or df.sparkSession.sparkContext.defaultParallelism)
     # Non-deterministic, so the optimizer neither repeats a call nor moves it.
-    return df.withColumn("recommendation", answers.asNondeterministic()("prompt"))
+    return df.withColumn("answer", answers.asNondeterministic()("prompt"))
+
+
+def generate(
+    df: DataFrame,
+    fn: Callable[[str], str],
+    retries: int = fv.GENERATION_ATTEMPTS,
+    wait: float = fv.GENERATION_PAUSE_SECONDS,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Adds `recommendation = fn(prompt)`. After the last failed attempt the text says so instead."""
+    answered = _answered(df, fn, retries, wait, parallelism)
+    return answered.withColumn("recommendation", F.col("answer.text")).drop("answer")
+
+
+def generate_stored(
+    df: DataFrame,
+    fn: Callable[[str], str],
+    store: str,
+    retries: int = fv.GENERATION_ATTEMPTS,
+    wait: float = fv.GENERATION_PAUSE_SECONDS,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """`generate` with the answers kept below `store`, keyed by a hash of the prompt. Equal prompts are asked once; what
+    an earlier run stored is not asked again. A run's calls end in a checkpoint, so later stages cannot repeat one, and
+    are appended to the store. Failed calls are not stored: the next run tries them again."""
+    spark, key = df.sparkSession, F.sha2("prompt", 256).alias("prompt_hash")
+    known = spark.createDataFrame([], "prompt_hash string, recommendation string")
+    if has_files(spark, store):
+        known = spark.read.schema(known.schema).parquet(store)
+    asked = df.filter(F.col("prompt").isNotNull()).select(key, "prompt").distinct()
+    open_prompts = asked.join(known, "prompt_hash", "left_anti")
+    fresh = cut_lineage(_answered(open_prompts, fn, retries, wait, parallelism).select("prompt_hash", "answer.*"))
+    fresh.filter("ok").select("prompt_hash", F.col("text").alias("recommendation")).write.mode("append").parquet(store)
+    answers = known.union(fresh.select("prompt_hash", "text")).groupBy("prompt_hash").agg(F.min("recommendation").alias("recommendation"))
+    return df.withColumn("prompt_hash", key).join(answers, "prompt_hash", "left").drop("prompt_hash")

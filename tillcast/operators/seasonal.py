@@ -31,8 +31,11 @@ WEEKLY = (7.0, 3)
 CHANGE_PENALTY = 0.01 / 0.05**2
 LEVEL_PENALTY = 0.01 / 5**2
 EFFECT_PENALTY = 0.01 / 10**2
-FIT_ROUNDS = 20
+# The alternating fit ends when the effects move by no more than this.
+FIT_ROUNDS = 500
+FIT_CLOSE = 1e-13
 PARTS = ("prediction", "trend", "weekly", "yearly")
+EFFECTS = ("weekly", "yearly", "regressor")
 
 
 def fourier(day: Column, period: float, order: int) -> Column:
@@ -86,35 +89,128 @@ def fit_series(y: np.ndarray, trend_x: np.ndarray, effect_x: np.ndarray) -> tupl
     effects = np.zeros(effect_x.shape[1])
     trend = np.zeros(trend_x.shape[1])
     for _ in range(FIT_ROUNDS):
+        before = effects
         trend = _ridge(trend_x * (1 + effect_x @ effects)[:, None], y, trend_penalty)
         level = trend_x @ trend
         effects = _ridge(effect_x * level[:, None], y - level, effect_penalty)
+        if np.abs(effects - before).max(initial=0.0) <= FIT_CLOSE:
+            break
     return trend, effects
 
 
-def _forecast_group(group: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+def _terms(group: pd.DataFrame) -> list[np.ndarray]:
+    columns = ("trend_terms", "weekly_terms", "yearly_terms", "regressor_terms")
+    return [np.array(group[c].tolist(), dtype=float).reshape(len(group), -1) for c in columns]
+
+
+def _fit_group(group: pd.DataFrame):
+    """(scale, trend coefficients, effect coefficients) of one series; None without a training day."""
     train = group["train"].to_numpy(bool) & group["y"].notna().to_numpy()
-    test = ~group["train"].to_numpy(bool)
-    trend_x, weekly, yearly, regressors = (
-        np.array(group[c].tolist(), dtype=float).reshape(len(group), -1)
-        for c in ("trend_terms", "weekly_terms", "yearly_terms", "regressor_terms")
-    )
-    effect_x = np.hstack([weekly, yearly, regressors])
-    out = group.loc[test, [*keys, "date"]]
     if not train.any():
-        return out.assign(**{part: np.nan for part in PARTS})
+        return None
+    trend_x, *effects = _terms(group)
     y = group["y"].to_numpy(float)
     scale = np.abs(y[train]).max() or 1.0
-    trend_coef, effect_coef = fit_series(y[train] / scale, trend_x[train], effect_x[train])
+    return scale, *fit_series(y[train] / scale, trend_x[train], np.hstack(effects)[train])
+
+
+def _forecast_group(group: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    test = ~group["train"].to_numpy(bool)
+    out, fitted = group.loc[test, [*keys, "date"]], _fit_group(group)
+    if fitted is None:
+        return out.assign(**{part: np.nan for part in PARTS})
+    scale, trend_coef, effect_coef = fitted
+    trend_x, weekly, yearly, regressors = _terms(group)
     trend = trend_x @ trend_coef * scale
     n = weekly.shape[1]
-    out["prediction"] = (trend * (1 + effect_x @ effect_coef))[test]
+    out["prediction"] = (trend * (1 + np.hstack([weekly, yearly, regressors]) @ effect_coef))[test]
     out["trend"] = trend[test]
     out["weekly"] = (weekly @ effect_coef[:n])[test]
     out["yearly"] = (yearly @ effect_coef[n : n + yearly.shape[1]])[test]
     return out
 
 
+def _coefficient_group(group: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    fitted = _fit_group(group)
+    if fitted is None:
+        return pd.DataFrame(columns=[*keys, "part", "position", "value"])
+    scale, trend, effects = fitted
+    _, *terms = _terms(group)
+    bounds = np.cumsum([0, *[t.shape[1] for t in terms]])
+    parts = {"scale": [scale], "trend": trend}
+    parts |= {name: effects[a:b] for name, a, b in zip(EFFECTS, bounds, bounds[1:])}
+    rows = [(*group[keys].iloc[0], part, i, v) for part, values in parts.items() for i, v in enumerate(values)]
+    return pd.DataFrame(rows, columns=[*keys, "part", "position", "value"])
+
+
+def coefficients(
+    df: DataFrame, keys: Sequence[str], cutoff: str = fv.TRAIN_TEST_CUTOFF, regressors: Sequence[str] = ()
+) -> DataFrame:
+    """The fitted model as rows: series, part, position, value. The trend is of sales divided by `scale`."""
+    design = seasonal_design(df, keys, cutoff, regressors)
+    schema = T.StructType(
+        [design.schema[k] for k in keys]
+        + [T.StructField("part", T.StringType()), T.StructField("position", T.IntegerType()), T.StructField("value", T.DoubleType())]
+    )
+    key_names = list(keys)
+    return design.groupBy(*keys).applyInPandas(lambda group: _coefficient_group(group, key_names), schema)
+
+
+def _dot(terms: str, values: str) -> Column:
+    products = F.zip_with(terms, values, lambda x, c: x * c)
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+
+def with_fit(design: DataFrame, fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`design` with the coefficients of its series as arrays and `level`, `weekly`, `yearly`, `extra`: the parts of the
+    model as dot products, the level in units of `scale`. A series has some sixty coefficients."""
+    ordered = F.array_sort(F.collect_list(F.struct("position", "value")))
+    arrays = fitted.groupBy(*keys, "part").agg(F.transform(ordered, lambda x: x["value"]).alias("values"))
+    wide = arrays.groupBy(*keys).pivot("part", ["scale", "trend", *EFFECTS]).agg(F.first("values"))
+    none = F.array().cast(T.ArrayType(T.DoubleType()))
+    names = {part: F.coalesce(F.col(part), none).alias(f"{part}_values") for part in ("trend", *EFFECTS)}
+    wide = wide.select(*keys, F.col("scale")[0].alias("scale"), *names.values())
+    joined = design.join(wide, list(keys))
+    return joined.withColumns({
+        "level": _dot("trend_terms", "trend_values"), "weekly": _dot("weekly_terms", "weekly_values"),
+        "yearly": _dot("yearly_terms", "yearly_values"), "extra": _dot("regressor_terms", "regressor_values"),
+    })
+
+
+def ridge_gradient(design: DataFrame, fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Half the gradient of the penalised squared error at the fitted coefficients, per series, part and position: 0
+    where the fit is optimal. Summed over the training days where they lie."""
+    train = with_fit(design, fitted, keys).filter(F.col("train") & F.col("y").isNotNull())
+    share = 1 + F.col("weekly") + F.col("yearly") + F.col("extra")
+    left = F.col("y") / F.col("scale") - F.col("level") * share
+    slopes = {"trend": left * share, **{part: left * F.col("level") for part in EFFECTS}}
+
+    def pull(part: str, slope: Column) -> Column:
+        return F.transform(f"{part}_terms", lambda x, i: F.struct(
+            F.lit(part).alias("part"), i.alias("position"), (x * slope).alias("pull")
+        ))
+
+    rows = F.flatten(F.array(*[pull(part, slope) for part, slope in slopes.items()]))
+    pulls = train.select(*keys, F.explode(rows).alias("r")).groupBy(
+        *keys, F.col("r.part").alias("part"), F.col("r.position").alias("position")
+    ).agg(F.sum("r.pull").alias("pull"))
+    level = (F.col("part") == "trend") & (F.col("position") < 2)
+    penalty = F.when(level, LEVEL_PENALTY).when(F.col("part") == "trend", CHANGE_PENALTY).otherwise(EFFECT_PENALTY)
+    return pulls.join(fitted, [*keys, "part", "position"]).select(
+        *keys, "part", "position", (penalty * F.col("value") - F.col("pull")).alias("gradient")
+    )
+
+
+def recomposed(design: DataFrame, fitted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The columns of `decompose` for every day, from the stored coefficients."""
+    parts = with_fit(design, fitted, keys)
+    trend = F.col("level") * F.col("scale")
+    return parts.select(
+        *keys, "date", "train", (trend * (1 + F.col("weekly") + F.col("yearly") + F.col("extra"))).alias("prediction"),
+        trend.alias("trend"), "weekly", "yearly",
+    )
+
+
 def decompose(
     df: DataFrame, keys: Sequence[str], cutoff: str = fv.TRAIN_TEST_CUTOFF, regressors: Sequence[str] = ()
 ) -> DataFrame:

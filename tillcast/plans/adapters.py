@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.operators.reshape import DAY_PREFIX
+from tillcast.session import shared_folder
 
 KEYS = ["store_id"]
 # The store's city carries the store's name.
@@ -99,9 +100,9 @@ def weather_daily(spark: SparkSession, sf_dir: str, days: DataFrame | None = Non
     return _weather_columns(_weather_seed(spark, sf_dir, days)).drop("k")
 
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_weather(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
     """Date strings with unreadable, partial and missing ones; some missing temperatures."""
-    return _weather_columns(_weather_seed(spark, sf_dir)).selectExpr(
+    return _weather_columns(_weather_seed(spark, sf_dir, days)).selectExpr(
         "case when k % 101 = 0 then 'bad' when k % 103 = 0 then '2016' when k % 107 = 0 then null "
         "else date_format(date, 'yyyy-MM-dd') end as date",
         "city", "temperature_max", "case when k % 109 <> 0 then temperature_min end as temperature_min",
@@ -109,8 +110,8 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_daily(spark, sf_dir).selectExpr(
+def raw_sales(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> DataFrame:
+    return sales_daily(spark, sf_dir, days).selectExpr(
         "store_id",
         "case when units_sold % 101 = 0 then 'bad' when units_sold % 103 = 0 then null "
         "else date_format(date, 'yyyy-MM-dd') end as date",
@@ -124,8 +125,15 @@ FIRST_DAY, LAST_DAY, MATRIX_DAYS = "1995-01-01", "2001-08-01", 2405
 
 
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item x day matrix: an item is a supplier's, a column a day from FIRST_DAY on. Quantities are
-    summed before each join."""
+    """Item x day matrix, written once and read back by its schema. The pivot has thousands of columns: planned
+    together with what reads it, the code of one stage would outgrow what the JVM compiles."""
+    matrix, folder = _pivoted(spark, sf_dir), shared_folder(spark, "sales-matrix")
+    matrix.write.parquet(folder)
+    return spark.read.schema(matrix.schema).parquet(folder)
+
+
+def _pivoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An item is a supplier's, a column a day from FIRST_DAY on. Quantities are summed before each join."""
     lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_quantity").alias("units"))
     orders = load(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_custkey", f"datediff({DATE}, date'{FIRST_DAY}') + 1 as day"

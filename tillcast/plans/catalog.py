@@ -4,7 +4,7 @@ or one table of the pipeline on all of their rows."""
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast import fixed_values as fv
@@ -14,15 +14,19 @@ from tillcast.operators import (
     boosted, demand, evaluate, features, forecast, quality, recommend, reshape, seasonal, staging, weather,
 )
 from tillcast.plans import adapters as ad
+from tillcast.plans import pipeline
 from tillcast.plans.adapters import CITY, CUTOFF, KEYS, ON
-from tillcast.session import cut_lineage
-from tillcast.sources import tables
+from tillcast.session import cut_lineage, shared_folder
+from tillcast.sources import files, tables
 
 # Oracle-checkable stand-ins for model columns: the constant forecast and the value a week ago.
 STAND_INS = ["naive_prediction", "lag7_prediction"]
 STAND_IN_TITLES = {"naive_prediction": "Naive Baseline", "lag7_prediction": "Same Day Last Week"}
 DATE_LIST = "2001-02-15, 2001-03-04,2001-04-06, 2001-13-01, soon"
 
+# Sums over nodes are checked on the first trees; every tree's count alike.
+IDENTITY_TREES = 25
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -57,10 +61,10 @@ def _demand(spark, sf, days=None):
     return demand.mart_demand_features(_stg_sales(spark, sf, days), _weather(spark, sf, days), KEYS, ON)
 
 
-def _gold(spark, sf):
+def _gold(spark, sf, days=None):
     """Both gold tables evaluated once, for queries with several branches over them: the joins of
     lines, orders and customers are the large part, the tables have a row per place and day."""
-    days = cut_lineage(ad.place_days(spark, sf))
+    days = cut_lineage(ad.place_days(spark, sf)) if days is None else days
     wx = cut_lineage(_weather(spark, sf, days))
     return wx, cut_lineage(demand.mart_demand_features(_stg_sales(spark, sf, days), wx, KEYS, ON))
 
@@ -130,6 +134,21 @@ def sales_series_daily(spark, sf):
     return reshape.daily_sales(one, ad.calendar(spark, sf), [])
 
 
+def _csv(df, folder):
+    """`df` as several CSV files with headers."""
+    df.repartition(3).write.option("header", True).csv(folder)
+    return folder
+
+
+@query
+def csv_round_trip(spark, sf):
+    """The matrix and the calendar written as CSV files, read back by their headers, melted and joined."""
+    folder = shared_folder(spark, "csv")
+    wide = files.read_sales_wide(spark, _csv(ad.sales_wide(spark, sf), f"{folder}/sales"))
+    calendar = files.read_calendar(spark, _csv(ad.calendar(spark, sf), f"{folder}/calendar"))
+    return reshape.attach_calendar(reshape.melt_days(wide), reshape.calendar_with_d(calendar))
+
+
 # --- bronze ----------------------------------------------------------------
 
 @query
@@ -152,6 +171,43 @@ def bronze_sales(spark, sf):
     return quality.conform(ad.sales_daily(spark, sf), schemas.keyed(schemas.BRONZE_SALES, KEYS))
 
 
+REPLACED_CITY, REPLACED_FROM = "ASIA", "1998-01-01"
+
+
+@query
+def bronze_round_trip(spark, sf):
+    """Weather of all cities written, one city brought again with fewer days, everything read back."""
+    path = shared_folder(spark, "bronze")
+    rows = quality.conform(ad.weather_daily(spark, sf), schemas.BRONZE_WEATHER)
+    tables.write_bronze(rows, path, ["city"])
+    tables.write_bronze(rows.filter((F.col("city") == REPLACED_CITY) & (F.col("date") >= REPLACED_FROM)), path, ["city"])
+    return files.read_bronze(spark, path, schemas.RAW_WEATHER)
+
+
+@query
+def pipeline_tables(spark, sf):
+    """The batch job over exported files, without models: what it wrote. Its databases go again."""
+    folder = shared_folder(spark, "job")
+    _csv(ad.sales_wide(spark, sf), f"{folder}/sales")
+    _csv(ad.calendar(spark, sf), f"{folder}/calendar")
+    # One document a file, as the service returns them.
+    payloads = ad.weather_payloads(spark, sf).select("city", F.col("body").alias("value"))
+    payloads.write.option("maxRecordsPerFile", 1).partitionBy("city").text(f"{folder}/landing")
+    places = ad.load(spark, sf, "region").select(F.col("r_name").alias("store_id"), F.col("r_name").alias("city"))
+    prefix = f"job_{folder.rsplit('-', 1)[1]}_"
+    job = pipeline.Job(
+        spark, f"{folder}/lake", f"{folder}/sales", f"{folder}/calendar", f"{folder}/landing", store_city=places,
+        cutoff=CUTOFF, prefix=prefix,
+    )
+    try:
+        facts = pipeline.run_pipeline(job, models=False)
+    finally:
+        for name in tables.LAYERS.values():
+            spark.sql(f"DROP DATABASE IF EXISTS {prefix}{name} CASCADE")
+    rows = [(f["table"].removeprefix(prefix), f["rows"], str(f["min_date"]), str(f["max_date"])) for f in facts]
+    return spark.createDataFrame(rows, "table_name string, rows long, first_day string, last_day string")
+
+
 @query
 def required_nulls(spark, sf):
     return quality.null_counts(ad.raw_weather(spark, sf), schemas.required(schemas.BRONZE_WEATHER))
@@ -231,6 +287,13 @@ def sales_rolling_known(spark, sf):
     )
 
 
+@query
+def sales_densified(spark, sf):
+    """Means over seven days instead of seven rows: days that the raw rows lack are filled in first."""
+    dense = demand.densify_dates(staging.stg_sales(ad.raw_sales(spark, sf), KEYS), KEYS)
+    return demand.with_sales_rolling(dense, KEYS).select(*KEYS, "date", "units_sold", "sales_rolling_avg_7d")
+
+
 @query
 def mart_demand_features(spark, sf):
     return _demand(spark, sf)
@@ -440,6 +503,48 @@ def decomposition(spark, sf):
     return seasonal.decompose(_features(spark, sf), KEYS, CUTOFF)
 
 
+def _fitted(spark, sf):
+    """Features, and the stored coefficients of the seasonal model with weather."""
+    prepared = cut_lineage(_features(spark, sf))
+    return prepared, cut_lineage(seasonal.coefficients(prepared, KEYS, CUTOFF, fv.WEATHER_REGRESSORS))
+
+
+@query
+def seasonal_gradient(spark, sf):
+    """The gradient of the seasonal fit's objective at its coefficients: 0 where the fit is optimal."""
+    prepared, fitted = _fitted(spark, sf)
+    design = seasonal.seasonal_design(prepared, KEYS, CUTOFF, fv.WEATHER_REGRESSORS)
+    gradient = seasonal.ridge_gradient(design, fitted, KEYS)
+    return gradient.withColumn("gradient", F.round(F.abs("gradient"), 6))
+
+
+@query
+def decomposition_identity(spark, sf):
+    """How far the components that the fit returns are from those that its stored coefficients give."""
+    prepared, fitted = _fitted(spark, sf)
+    design = seasonal.seasonal_design(prepared, KEYS, CUTOFF, fv.WEATHER_REGRESSORS)
+    again = seasonal.recomposed(design, fitted, KEYS).filter(~F.col("train"))
+    parts = seasonal.decompose(prepared, KEYS, CUTOFF, fv.WEATHER_REGRESSORS)
+    names = {p: f"{p}_again" for p in seasonal.PARTS}
+    both = parts.join(again.withColumnsRenamed(names), [*KEYS, "date"], "full")
+    off = {p: F.round(F.abs(F.col(p) - F.col(q)) / (1 + F.abs(F.col(p))), 9) for p, q in names.items()}
+    return both.select(*KEYS, "date", *[c.alias(p) for p, c in off.items()])
+
+
+@query
+def importance_identity(spark, sf):
+    """The importance of every rank beside what the nodes of the trees themselves add up to."""
+    prepared = _features(spark, sf)
+    model = boosted.forecast_boosted(prepared, KEYS, fv.WEATHER_FEATURES, CUTOFF, IDENTITY_TREES)[1]
+    known = boosted.feature_importance(prepared, model, fv.WEATHER_FEATURES)
+    nodes = boosted.importance_from_nodes(boosted.tree_nodes(model, spark), fv.WEATHER_FEATURES)
+    both = known.join(nodes.select("feature", F.col("importance").alias("again"), F.col("rank").alias("again_rank")), "feature", "full")
+    return both.select(
+        "rank", F.round(F.abs(F.col("importance") - F.col("again")), 9).alias("difference"), "again_rank",
+        F.round(F.sum("again").over(Window.partitionBy()), 9).alias("total"),
+    )
+
+
 @query
 def forecast_gbt(spark, sf):
     return boosted.forecast_boosted(_features(spark, sf), KEYS, fv.BASE_FEATURES, CUTOFF)[0]
@@ -514,10 +619,11 @@ def recommendation_generate(spark, sf):
 
 @query
 def dq_report(spark, sf):
-    wx, mart = _gold(spark, sf)
+    days = cut_lineage(ad.place_days(spark, sf))
+    wx, mart = _gold(spark, sf, days)
     inputs = {
-        "stg_weather": stg_weather(spark, sf),
-        "stg_sales": stg_sales(spark, sf),
+        "stg_weather": staging.stg_weather(ad.raw_weather(spark, sf, days)),
+        "stg_sales": staging.stg_sales(ad.raw_sales(spark, sf, days), KEYS),
         "mart_weather_daily": wx,
         "mart_demand_features": mart,
     }

@@ -337,6 +337,7 @@ SELECTS = {
     "calendar_days": "select date, wday, event_name_1, snap_CA, d from calendar_rows",
     "sales_calendar_join": "select item_id, store_id, d, units_sold, date, snap_CA, event_name_1, wday, is_event from matrix_days",
     "sales_daily_totals": f"select store_id, cat_id, {_DAILY} group by store_id, cat_id, date",
+    "csv_round_trip": "select item_id, store_id, d, units_sold, date, snap_CA, event_name_1, wday, is_event from matrix_days",
     "sales_series_daily": f"select {_DAILY} and store_id = 'ASIA' and cat_id = 'R' group by date",
     "weather_json_rows": """select strftime(date, '%Y-%m-%d') as date, city, temperature_max, temperature_min,
         precipitation_sum, wind_speed_max, weather_code from weather_days_k""",
@@ -346,6 +347,37 @@ SELECTS = {
         cast(cast(precipitation_sum as float) as double) as precipitation_sum,
         cast(cast(wind_speed_max as float) as double) as wind_speed_max,
         cast(weather_code as bigint) as weather_code from weather_days_k""",
+    "bronze_round_trip": """select strftime(date, '%Y-%m-%d') as date, city,
+        cast(cast(temperature_max as float) as double) as temperature_max,
+        cast(cast(temperature_min as float) as double) as temperature_min,
+        cast(cast(precipitation_sum as float) as double) as precipitation_sum,
+        cast(cast(wind_speed_max as float) as double) as wind_speed_max,
+        cast(weather_code as bigint) as weather_code from weather_days_k where city <> 'ASIA' or date >= date '1998-01-01'""",
+    "pipeline_tables": """
+        with w as (select count(*) as rows, cast(min(date) as varchar) as first_day, cast(max(date) as varchar) as last_day
+            from weather_days_k),
+        s as (select (select count(*) from (select distinct store_id, cat_id from matrix_sums)) * (select count(*) from calendar_rows)
+            as rows, (select min(date) from calendar_rows) as first_day, (select max(date) from calendar_rows) as last_day)
+        select t as table_name, w.* from w, (values ('weather_raw.weather_raw_daily'), ('weather_staging.stg_weather'),
+            ('weather_marts.mart_weather_daily')) as x(t)
+        union all
+        select t, s.* from s, (values ('sales_raw.sales_raw_daily'), ('weather_staging.stg_sales'),
+            ('weather_marts.mart_demand_features')) as x(t)""",
+    "sales_densified": """
+        with d as (select store_id, cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date
+            from stg_sales_bad group by store_id)
+        select d.store_id, d.date, b.units_sold,
+            round(avg(b.units_sold) over (partition by d.store_id order by d.date rows between 6 preceding and current row), 1)
+                as sales_rolling_avg_7d
+        from d left join stg_sales_bad b on b.store_id = d.store_id and b.date = d.date""",
+    "seasonal_gradient": """
+        select store_id, p.part, cast(unnest(range(0, p.n)) as int) as position, 0e0 as gradient
+        from (select distinct store_id from warm),
+            (values ('trend', 27), ('weekly', 6), ('yearly', 20), ('regressor', 7)) as p(part, n)""",
+    "decomposition_identity": """select store_id, date, 0e0 as prediction, 0e0 as trend, 0e0 as weekly, 0e0 as yearly
+        from forecasts""",
+    "importance_identity": """select cast(unnest(range(1, 20)) as int) as rank, 0e0 as difference,
+        cast(unnest(range(1, 20)) as int) as again_rank, 1e0 as total""",
     "bronze_sales": """select store_id, strftime(date, '%Y-%m-%d') as date, units_sold, cast(snap_ca as bigint) as snap_ca,
         cast(is_event as bigint) as is_event, cast(day_of_week as bigint) as day_of_week from sales_days""",
     "required_nulls": " union all ".join(
@@ -464,8 +496,11 @@ def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:
 def oracle(name: str) -> str:
     """The statement with the expressions it needs, in dependency order."""
     select = SELECTS[name]
-    ctes = ",\n".join(f"{c} as ({CTES[c].strip()})" for c in _needed(select, {}))
-    return f"with {ctes}\n{select}"
+    found = _needed(select, {})
+    if not found:
+        return select
+    ctes = ",\n".join(f"{c} as ({CTES[c].strip()})" for c in found)
+    return f"with {ctes}\nselect * from ({select})"
 
 
 def all_oracles() -> dict[str, str]:

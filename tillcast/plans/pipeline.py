@@ -1,8 +1,8 @@
 """The whole batch job in dependency order: bronze, raw, silver, gold, forecast, recommendation.
 
 Every stage ends in a written file or table and the next one reads it, so a lost executor or a failed
-stage repeats one stage only. Bronze is laid out by city and by series, and a run replaces those that it
-brings; all later tables are built from everything in bronze. So running twice equals running once, and a run for
+stage repeats one stage only. Bronze is laid out in a bounded number of folders, and a run replaces the cities and series
+that it brings; all later tables are built from everything in bronze. So running twice equals running once, and a run for
 one city or series keeps the others. Silver and gold frames pass their data tests before they replace a table.
 """
 
@@ -28,7 +28,8 @@ class Job:
     `root` is the folder of the bronze layer. `city` names the one city of `weather_json`; without it
     the folder holds `city=<name>/` subfolders. `store_city` (store_id, city) places the stores; with
     one city it may be left out. `series` limits the run to (store_id, cat_id). `parallelism` is the number
-    of tasks that call `answer`, by default as many as the session runs at a time.
+    of tasks that call `answer`, by default as many as the session runs at a time; `answers` is a folder that keeps what
+    it returned, so that no run asks for a text twice. `prefix` goes before the names of the databases.
     """
 
     spark: SparkSession
@@ -47,13 +48,15 @@ class Job:
     retries: int = fv.GENERATION_ATTEMPTS
     wait: float = fv.GENERATION_PAUSE_SECONDS
     parallelism: int | None = None
+    answers: str | None = None
+    prefix: str = ""
     written: list = field(default_factory=list)
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return tables.table(self.spark, layer, name)
+        return tables.table(self.spark, layer, name, self.prefix)
 
     def save(self, df: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:
-        self.written.append(tables.materialize(df, layer, name, sort_by=[*keys, "date"]))
+        self.written.append(tables.materialize(df, layer, name, sort_by=[*keys, "date"], prefix=self.prefix))
 
     def bronze(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/bronze/{name}"
@@ -72,7 +75,7 @@ class Job:
 
     def placed(self, df: DataFrame) -> DataFrame:
         """`df` with the city of each store, also of stores that earlier runs brought."""
-        known = self.spark.read.schema("city string, store_id string").parquet(self.bronze("places"))
+        known = self.spark.read.schema("city string, store_id string").parquet(self.bronze("places")).select("city", "store_id")
         return demand.attach_city(df, known)
 
 
@@ -81,7 +84,7 @@ def ingest_weather(job: Job) -> None:
     # The guard rides along with the write: the landing folder is read once.
     required = schemas.required(schemas.BRONZE_WEATHER)
     bronze = quality.guard_not_null(quality.conform(rows, schemas.BRONZE_WEATHER), required)
-    tables.write_bronze(bronze.repartition("city"), job.bronze("weather"), CITY)
+    tables.write_bronze(bronze, job.bronze("weather"), CITY)
 
 
 def load_weather(job: Job) -> None:
@@ -95,10 +98,10 @@ def ingest_sales(job: Job) -> None:
         wide = reshape.filter_series(wide, *job.series)
     daily = reshape.daily_sales(wide, files.read_calendar(job.spark, job.calendar_csv), job.keys)
     schema = schemas.keyed(schemas.BRONZE_SALES, job.keys)
-    # The guard rides along with the write: no second pass over the matrix.
-    bronze = quality.guard_not_null(quality.conform(daily, schema), schemas.required(schema))
-    tables.write_bronze(bronze.repartition(*job.keys), job.bronze("sales"), job.keys)
-    tables.write_bronze(job.places(wide), job.bronze("places"), ["store_id"])
+    # The guard rides along with the one pass over the matrix.
+    bronze = cut_lineage(quality.guard_not_null(quality.conform(daily, schema), schemas.required(schema)))
+    tables.write_bronze(bronze, job.bronze("sales"), job.keys)
+    tables.write_bronze(job.places(bronze), job.bronze("places"), ["store_id"], buckets=1)
 
 
 def load_sales(job: Job) -> None:
@@ -133,7 +136,7 @@ def build_forecasts(job: Job) -> DataFrame:
     """Writes the forecasts and returns the comparison of the models."""
     ready = features.model_features(job.table("marts", "mart_demand_features"), job.keys, job.cutoff)
     long, _ = forecast.forecast_all(ready, job.keys, job.cutoff, job.n_trees)
-    job.written.append(tables.write_forecasts(long, job.keys))
+    job.written.append(tables.write_forecasts(long, job.keys, prefix=job.prefix))
     flags = job.table("marts", "mart_demand_features").select(*job.keys, "date", "anomaly_flag")
     wide = job.table("marts", "mart_forecast_output").join(flags, [*job.keys, "date"], "left")
     return evaluate.model_summary(forecast.to_long(wide, job.keys, list(fv.MODEL_TITLES)))
@@ -144,19 +147,26 @@ def build_recommendations(job: Job) -> None:
     wx, mart = job.table("marts", "mart_weather_daily"), job.table("marts", "mart_demand_features")
     dates = recommend.resolve_dates(job.selection, forecasts, wx, mart, job.keys)
     context = recommend.recommendation_context(forecasts, wx, mart, job.keys, dates)
-    texts = recommend.generate(recommend.with_prompt(context), job.answer, job.retries, job.wait, job.parallelism)
+    prompts, calls = recommend.with_prompt(context), (job.retries, job.wait, job.parallelism)
+    if job.answers is None:
+        texts = recommend.generate(prompts, job.answer, *calls)
+    else:
+        texts = recommend.generate_stored(prompts, job.answer, job.answers, *calls)
     texts = texts.select(*job.keys, "date", "prompt", "recommendation")
     # Sorting runs after the calls, so it cannot repeat one.
     job.save(texts, "marts", "mart_ai_recommendations", job.keys)
 
 
-def run_pipeline(job: Job) -> list[dict]:
+PREPARE = (ingest_weather, load_weather, ingest_sales, load_sales, build_silver, build_gold)
+
+
+def run_pipeline(job: Job, models: bool = True) -> list[dict]:
     """Runs everything; returns name, rows and date range of each table written.
 
-    Recommendations are written when an `answer` function is given.
+    Without `models` it ends with the gold tables. Recommendations are written when an `answer` function is given.
     """
-    for stage in (ingest_weather, load_weather, ingest_sales, load_sales, build_silver, build_gold, build_forecasts):
+    for stage in (*PREPARE, build_forecasts) if models else PREPARE:
         stage(job)
-    if job.answer is not None:
+    if models and job.answer is not None:
         build_recommendations(job)
     return job.written

@@ -4,7 +4,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning picks broadcast joins by measured size, splits skewed join partitions and
@@ -61,3 +63,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the checkpoint folder, for tables that one step writes and the next reads."""
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def at_once(spark: SparkSession, **tasks: Callable[[], object]) -> dict[str, object]:
+    """Results of `tasks`, each run in a driver thread that carries the session's settings, with a scheduler pool of
+    its own. For work made of many small jobs, which alone leaves most cores idle. The first error is raised
+    after all have ended."""
+    results, errors = {}, []
+
+    def run(name: str, task: Callable[[], object]) -> None:
+        try:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            results[name] = task()
+        except Exception as error:
+            errors.append(error)
+
+    threads = [InheritableThread(target=run, args=item, session=spark) for item in tasks.items()]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results

@@ -1,5 +1,6 @@
 """File readers. Every reader applies a declared schema; nothing is inferred from data."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,15 +57,16 @@ def read_weather_json(spark: SparkSession, path: str, city: str | None = None) -
     return weather_rows(payloads if city is None else payloads.withColumn("city", F.lit(city)))
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet under the declared schema; float32 files widen to a double schema while reading."""
-    return spark.read.schema(schema).parquet(path)
-
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds a table's files below `path`."""
+    try:
+        return bool(spark.read.format("binaryFile").load(path).select("path").head(1))
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return False
+        raise
 
-def bronze_weather_path(root: str, city: str, start_date: str, end_date: str) -> str:
-    folder = city.strip().lower().replace(" ", "_")
-    return f"{root.rstrip('/')}/bronze/weather/{folder}/weather_{start_date}_{end_date}.parquet"
 
-
-def bronze_sales_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/bronze/sales/{name}.parquet"
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet under the declared schema; float32 files widen to a double schema while reading."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
