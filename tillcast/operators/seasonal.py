@@ -33,7 +33,7 @@ LEVEL_PENALTY = 0.01 / 5**2
 EFFECT_PENALTY = 0.01 / 10**2
 # The alternating fit ends when the effects move by no more than this.
 FIT_ROUNDS = 500
-FIT_CLOSE = 1e-13
+FIT_CLOSE = 1e-11
 PARTS = ("prediction", "trend", "weekly", "yearly")
 EFFECTS = ("weekly", "yearly", "regressor")
 
