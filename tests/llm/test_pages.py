@@ -121,3 +121,78 @@ def test_extraction_of_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert values(html_density.main_text(df)) == [(None, "u", "", 0), (1, None, "", 0), (2, "u", "x", 1), (2, "u", "x", 1)]
     assert html_density.main_text(df.limit(0)).count() == 0
+
+
+def words(n, tag="w"):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+NAV = "<nav><ul><li><a href=/a>menu one</a></li><li><a href=/b>menu two</a></li></ul></nav>"
+LONG = "".join(f"<p>{words(80, 'l')}</p>" for _ in range(5))
+
+
+@pytest.mark.parametrize("body, kept, lost", [
+    # A second section of shorter paragraphs.
+    (f"<article><section>{LONG}</section><section>{''.join(f'<p>short{i} {words(15)}</p>' for i in range(3))}</section></article>", ["short0", "short2"], []),
+    # A short lead and closing paragraph beside the content.
+    (f"<p>lead words</p><div>{LONG}</div><p>closing words</p>", ["lead words", "closing words"], []),
+    # A list of references inside the article.
+    (f"<article>{LONG}<ul><li><a href=/r1>reference one</a></li><li><a href=/r2>reference two</a></li></ul></article>", ["reference two"], []),
+    # Attributes are read by their whole names, and not inside values.
+    (f"<article>{LONG}<p data-id='menu'>own words</p></article>", ["own words"], []),
+    (f"<article>{LONG}<p title='role=banner'>own words</p></article>", ["own words"], []),
+    (f"<article>{LONG}<p title=\"a > b\" CLASS = 'menu'>not here</p></article>", [], ["not here", "b"]),
+    # An odd quote in a tag is no text.
+    (f"<article>{LONG}<p>before</p><img alt=\"5' tall' src=a><p>after</p></article>", ["before", "after"], ["tall", "src"]),
+    (f"<article><p class=\"x>odd</p>{LONG}</article>", ["odd"], ["class"]),
+    # Lists of links outside articles are menus.
+    (f"<div>{LONG}</div><ul><li><a href=/x>link one</a></li><li><a href=/y>link two</a></li></ul>", [], ["link one"]),
+])
+def test_articles_stay_whole(body, kept, lost):
+    text = html_density.extract(f"<html><body>{NAV}{body}<footer>imprint</footer></body></html>")
+    assert text.count("l79") == 5 and "menu one" not in text and "imprint" not in text
+    assert all(k in text.split("\n") or any(line.startswith(k) for line in text.split("\n")) for k in kept), text
+    assert not any(x in text for x in lost)
+
+
+def test_long_runs_of_spaces_in_tags_take_linear_time():
+    spaces = " " * 50_000
+    assert html_density.extract(f"<article>{LONG}<p{spaces}'{spaces}>end</p></article>").endswith("end")
+
+
+def test_densities_beside_a_naive_computation():
+    """Characters, tags, link characters and links of every node counted anew, densities and sums by the formula."""
+    import math
+
+    html = f"<body><div><p>{words(30)} <a href=x>{words(3)}</a></p><p>{words(50)}</p></div><ul><li><a>one</a></li><li><a>two</a></li></ul></body>"
+    root = html_density.parse(html)
+    own_links = {}
+
+    def remember(node):
+        own_links[node] = (node.links, node.link_chars)
+        for child in node.children():
+            remember(child)
+
+    remember(root)
+
+    def count(node):
+        chars = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        tags, (links, linked) = node.inner_tags, own_links[node]
+        for child in node.children():
+            c = count(child)
+            chars, tags, linked, links = chars + c[0], tags + 1 + c[1], linked + c[2], links + c[3]
+        return chars, tags, linked, links
+
+    def density(node):
+        (c, t, lc, lt), (cb, _, lcb, _) = count(node), count(root)
+        if not c:
+            return 0.0
+        base = math.log(c / ((c - lc) or 1) * lc + lcb / cb * c + math.e)
+        value = math.log(c / (lc or 1) * (t or 1) / (lt or 1))
+        return c / (t or 1) * max(0.0, value / math.log(base) if base > 1 else value)
+
+    want = {n: (density(n), sum(density(c) for c in n.children())) for n in own_links}
+    nodes = html_density._count(root)
+    assert len(nodes) == len(want) > 6
+    for node in nodes:
+        assert (node.density, node.sum) == pytest.approx(want[node])

@@ -8,9 +8,10 @@ in links below a node, and LC_b, C_b those of the body, the density of a node is
     C/T * log_b(C/LC * T/LT),   b = ln(C/(C-LC) * LC + LC_b/C_b * C + e)
 
 (zero divisors count as 1). The density sum of a node adds the densities of its children. The node of
-the largest density sum is the seed; the threshold is the smallest density on its path to the body. From
-the seed the selection climbs towards the body while the parent's other children reach the threshold or are
-headings or short text of few links, so a heading beside the text is not lost; link lists inside are dropped.
+the largest density sum is the seed; the threshold is the smallest density on its path to the body. A seed inside an
+`article` or `main` takes the whole of it, its lists of links too. From there the selection climbs towards the body
+while each of the parent's other children reaches the threshold and is no list of links, or is a heading or running text
+(`FLOW`) of few links, so a lead beside the text is not lost. Outside articles, lists of links are dropped.
 
 Blocks are joined in page order by one line feed; white space in a block becomes one space. Character references are
 decoded. Defined results: a null or empty html has an empty text; so has a page without text. Tags that are
@@ -55,10 +56,17 @@ AWAY = re.compile(
     re.I,
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Running text, which belongs to an article wherever it stands beside it.
+FLOW = {"p", "blockquote", "pre", "figure", "ul", "ol", "dl", "table"}
+_ATTRIBUTE = r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?"
+_WHOLE = r"[^\s=\"'<>/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'<>]+))?"
+# A tag with whole attributes; else, as after an odd quote, up to the next ">".
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++(?:{_WHOLE})?+)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
 )
-_NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_READ = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -79,8 +87,11 @@ def _is_away(tag, attributes, inside_article):
         return True
     if not attributes:
         return False
-    for name, *values in _NAMES.findall(attributes):
-        name, value = name.lower(), unescape("".join(values))
+    for name, *values in _ATTRIBUTES.findall(attributes):
+        name = name.lower()
+        if name not in _READ:
+            continue
+        value = unescape("".join(values))
         if name in ("class", "id", "role") and tag not in ("body", "html", "article", "main") and AWAY.search(value):
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
@@ -110,7 +121,8 @@ def parse(html: str) -> Node:
     while found := _TAG.search(html, at):
         text(html[at : found.start()])
         at = found.end()
-        slash, tag, attributes = found.groups()
+        groups = found.groups()
+        slash, tag, attributes = groups[:3] if groups[1] else groups[3:]
         if tag is None:
             continue
         tag = tag.lower()
@@ -223,6 +235,16 @@ def _link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "table", "dl") and node.links > 1 and 2 * node.link_chars > node.chars
 
 
+def _below(node: Node) -> set[Node]:
+    """The node and all nodes below it."""
+    found, stack = set(), [node]
+    while stack:
+        node = stack.pop()
+        found.add(node)
+        stack.extend(node.children())
+    return found
+
+
 def extract(html: str | None) -> str:
     """Main text of a page."""
     if not html:
@@ -235,12 +257,22 @@ def extract(html: str | None) -> str:
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
     top = seed
+    for kind in ("main", "article"):  # the outermost article, else main
+        top = next((n for n in reversed(path) if n.tag == kind), top)
+    held = top if top.tag in ("main", "article") else None
+
+    def belongs(node):
+        if _link_list(node):
+            return False
+        return node.tag in HEADINGS or node.density >= threshold or node.tag in FLOW and 2 * node.link_chars <= node.chars
+
     while top.parent is not None:
         others = [c for c in top.parent.children() if c is not top and not c.away and c.chars]
-        if not all(c.tag in HEADINGS or c.density >= threshold and not _link_list(c) for c in others):
+        if not all(map(belongs, others)):
             break
         top = top.parent
-    return "\n".join(_lines(top, {n for n in nodes if _link_list(n) and n is not top}))
+    inside = set() if held is None else _below(held)
+    return "\n".join(_lines(top, {n for n in nodes if _link_list(n) and n is not top and n not in inside}))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

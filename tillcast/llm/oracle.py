@@ -35,7 +35,7 @@ ORACLE_SQL = {
         worded as (select *, list_filter(string_split_regex(regexp_replace(lower(line), '[1-9]', '0', 'g'),
                 '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
         dups as (select r, count(*) - count(distinct line) as n from worded group by r),
-        keyed as (select r, source, text, array_to_string(ws, ' ') as key, len(ws) as n from worded where len(ws) <= 40),
+        keyed as (select r, source, text, array_to_string(ws, ' ') as key, len(ws) as n from worded),
         hosts as (select source, greatest(20.0, 0.02 * count(distinct text)) as most from d group by source),
         boiler as (select k.source, k.key from keyed k join hosts h on k.source is not distinct from h.source
                 group by k.source, k.key, h.most having count(distinct k.text) > h.most),
