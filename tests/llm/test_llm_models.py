@@ -3,6 +3,7 @@
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -95,9 +96,8 @@ def test_character_counts_cover_all_documents(spark, edge_docs, edge_rows):
     want = Counter()
     for _, text, *_ in edge_rows:
         for word in (text or "").lower().split():
-            if len(word) <= toxicity.LONGEST:
-                marked = "^^" + "".join(map(toxicity.model_char, word)) + "^"
-                want.update(marked[i : i + 3] for i in range(len(marked) - 2))
+            marked = "^^" + "".join(map(toxicity.model_char, word)) + "^"
+            want.update(marked[i : i + 3] for i in range(len(marked) - 2))
     assert toxicity.character_model(edge_docs) == dict(want)
 
 
@@ -114,29 +114,65 @@ def test_restored_words(restore, written, meant):
     assert restore(written) == meant
 
 
+def model_of(words):
+    counts = Counter()
+    for word in words.split():
+        marked = "^^" + word + "^"
+        counts.update(marked[i : i + 3] for i in range(len(marked) - 2))
+    return toxicity.CharModel({gram: 5 * n for gram, n in counts.items()})
+
+
+@pytest.mark.parametrize("written, meant", [
+    ("stuuuuuuuuuuuuuuuuuuuuupid", "stupid"), ("d--i--s--g--u--s--t--i--n--g", "disgusting"), ("@$$hole", "asshole"),
+    ("(rap", "crap"), ("(the", "the"), ("a$$", "ass"), ("h311", "hell"), ("id!0t", "idiot"), ("i d ! 0 t", "idiot"),
+    ("y o u i d i o t", "you idiot"), ("i*d*i*o*t", "idiot"), ("of!!", "of"), ("that***", "that"), ("***", ""),
+    ("s" * 300_000 + "tup1d", "stupid"), ("stup1d" * 5_000, "stupid" * 5_000),
+    # Letters outside the alphabet are not folded.
+    ("\u4eba\u4eba\u4eba!", "\u4eba\u4eba\u4eba"),
+])
+def test_words_of_any_length_and_spacing(written, meant):
+    words = "ass asshole hell idiot crap you stupid disgusting pass class well the of that moron"
+    if len(written) > 20_000:
+        words += " stupidstupidstupid"
+    assert toxicity.restorer(model_of(words))(written) == meant
+
+
 def test_spaced_letters_and_restored_text(spark, larger):
-    assert toxicity.joined("You S t U p i d thing é a la") == "you stupid thing é a la"
-    docs = spark.createDataFrame([(1, "A m0r0n and T.R.A.S.H here"), (2, None)], "doc_id long, text string")
+    assert toxicity.units("You S t U\n p i  d thing \u00e9 a la") == ["you", "s t u p i d", "thing", "\u00e9", "a", "la"]
+    assert toxicity.units("a b c") == ["a b c"] and toxicity.units(None) == toxicity.units(" \n") == []
+    assert toxicity.units("x " * 50_000 + "end") == [" ".join("x" * 50_000), "end"]
+    docs = spark.createDataFrame([(1, "A m0r0n and T.R.A.S.H here, t r a s h"), (2, None)], "doc_id long, text string")
     got = values(toxicity.restored_text(docs, toxicity.character_model(larger[0])))
-    assert got == [(1, "a moron and trash here"), (2, "")]
+    assert got == [(1, "a moron and trash here trash"), (2, "")]
 
 
 def test_viterbi_equals_all_paths():
-    model = toxicity.CharModel({"^^a": 5, "^ab": 4, "ab^": 4, "^^b": 2, "^ba": 2, "bba": 1, "bab": 3, "aba": 2, "ba^": 3})
-
-    def paths(arcs, at, last, cost, made):
-        if at == len(arcs):
-            yield cost + model.memo[last + "^"], made
-            return
-        for letters, price, width in arcs[at]:
-            now, total = last, cost + price
-            for letter in letters:
-                total += model.memo[now + toxicity.model_char(letter)]
-                now = now[1] + toxicity.model_char(letter)
-            yield from paths(arcs, at + width, now, total, made + letters)
-
-    for word in ["4b", "aabb", "a*b", "bbb4", "8a8", "a.b.a", "@8!", "abba"]:
-        assert toxicity.decode(word, model) == min(paths(toxicity.lattice(word, model), 0, "^^", 0.0, ""))[1]
+    """Also on words of many states, which no beam may prune, and with word ends inside."""
+    model = toxicity.CharModel({"^^a": 5, "^ab": 4, "ab^": 4, "^^b": 2, "^ba": 2, "bba": 1, "bab": 3, "aba": 2, "ba^": 3, "^^o": 2, "^ou": 3, "ou^": 1})
+
+    def cost(made):
+        total = 0.0
+        for word in made.split(" "):
+            marked = ["^", "^", *map(toxicity.model_char, word), "^"]
+            total += sum(model.memo["".join(gram)] for gram in zip(marked, marked[1:], marked[2:]))
+        return total
+
+    def best(word):
+        return min(
+            sum(price for _, price in path) + cost("".join(letters for letters, _ in path))
+            for path in product(*toxicity.lattice(word))
+        )
+
+    def price_of(word, made):
+        """The cheapest of the paths that give this text."""
+        return min(
+            sum(price for _, price in path) + cost(made)
+            for path in product(*toxicity.lattice(word)) if "".join(letters for letters, _ in path) == made
+        )
+
+    words = ["4b", "aabb", "a*b", "bbb4", "8a8", "a.b.a", "@8!", "abba", "a*b&%a", "4**b8", "*&%*6", "8 4 b", "a b a b * b", "(b|d!0+", "66a&&1"]
+    for word in words:
+        assert price_of(word, toxicity.decode(word, model)) == pytest.approx(best(word))
 
 
 def test_obfuscated_documents_score_like_plain_ones(spark, larger):

@@ -1,11 +1,16 @@
 """Toxicity through a noisy channel.
 
-What was written is seen as an intended text sent through a channel that replaces letters by look-alikes,
-puts signs between letters, and repeats letters. A word that may have gone through it becomes a lattice: each
-position has arcs for the letters it may stand for, for a sign that stands for nothing, and for a run of one letter as
-one or two letters. A Viterbi search finds the restored word with the best sum of channel costs and
-log-probabilities of a character trigram model. Runs of single characters between spaces are joined to one word
-first. The restored text is scored by a logistic regression over its words and word beginnings.
+What was written is seen as an intended text sent through a channel that replaces letters by look-alikes, puts signs
+between letters, spreads letters over single characters between spaces, and repeats letters. A word, or a run of
+three or more single characters between spaces, becomes a lattice: its parts are runs of one character, and each has
+arcs for the letters it may stand for, for a sign that stands for nothing, for one or two letters out of many, and
+for a space that is nothing or ends a word. A Viterbi search finds the restored words with the best sum of channel costs
+and log-probabilities of a character trigram model. Words of letters alone without odd repetitions are what they are.
+The restored text is scored by a logistic regression over its words and word beginnings.
+
+The search is whole: a state is the last two characters, so there are at most as many as pairs of letters that
+the parts before may stand for, none is pruned, and its work is linear in a word's length, which has no limit.
+Closing and quoting marks around a word, and three or more of one sign at its edge ("the***"), stand for nothing.
 
 The character model counts the trigrams of all documents (words of the corpus, each as often as it occurs). Its
 alphabet is fixed, so what the driver holds has at most (len(ALPHABET) + 2)^3 counts. The regression learns from at
@@ -20,6 +25,7 @@ scored each; a doc_id with several labels learns the smallest; empty tables give
 import math
 import re
 from collections import Counter
+from itertools import groupby
 
 import xxhash
 from pyspark.ml.classification import LogisticRegression
@@ -46,17 +52,25 @@ LOOKALIKES = {
 }
 STAND_COST = 1.0
 DROP_COST = 0.7
-END_DROP_COST = 0.5
-SIGN_DROP_COST = 3.0
-DIGIT_DROP_COST = 8.0
+EDGE_DROP_COST = 0.5
+SIGN_DROP_COST = 6.0
+DIGIT_COST = 4.0
 FOLD_COST = 1.0
-KEEP_RUN_COST = 2.0
-BEAM = 24
-LONGEST = 24
+FOLD_PAIR_COST = 2.0
+BREAK_COST = 2.0
+# A sign in this many places of a word stands between its letters.
+BETWEEN = 3
 _RARE_DOUBLE = 0.01
-_ALONE = re.compile(r"(?<!\S)\w(?:[ ._*-]\w){2,}(?!\S)")
-_SIGN_RUNS = re.compile(r"^\W{3,}|\W{3,}$")
-_EDGES = ".,;:?\"'()[]{}`~^_=-/\\"
+# Longer words are restored each time they occur, so that the kept ones have a bounded size.
+_KEPT_LENGTH = 64
+_ALONE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_THREE_ALONE = re.compile(r"\s\S\s+\S\s+\S\s")
+_DOUBLE = re.compile(f"([{ALPHABET}])\\1")
+_TRIPLE = re.compile(f"([{ALPHABET}])\\1\\1")
+_DECORATION = re.compile(r"^(\W)\1{2,}|(\W)\2{2,}$")
+_EDGES = ".,;:?\"')[]{}`~^_=-/\\"
+# Look-alikes that also open or close something, and then stand for nothing.
+_OPENING, _CLOSING = "(<¡", "!|+(<¡*#%&"
 
 
 class CharModel:
@@ -72,6 +86,7 @@ class CharModel:
             self.before_two[gram[1]] += n
         self.two, self.one, self.all = two, one, sum(one.values())
         self.memo = WordCache(self._cost)
+        self.rare = {c for c in ALPHABET if two[c + c] < _RARE_DOUBLE * max(1, self.before_two[c])}
 
     def _cost(self, gram):
         size = len(ALPHABET) + 2
@@ -79,99 +94,150 @@ class CharModel:
         mid = (self.two[gram[1:]] + 5 * low) / (self.before_two[gram[1]] + 5)
         return -math.log((self.three.get(gram, 0) + 5 * mid) / (self.before_three[gram[:2]] + 5))
 
-    def rare_double(self, char):
-        return self.two[char + char] < _RARE_DOUBLE * max(1, self.before_two[char])
+    def odd_repeats(self, word):
+        """Whether a letter comes three times, or twice where words rarely double it."""
+        return any(c in self.rare for c in _DOUBLE.findall(word)) or _TRIPLE.search(word) is not None
 
 
 def model_char(char: str) -> str:
     return char if char in ALPHABET else "?"
 
 
-def lattice(word: str, model: CharModel):
-    """[(arcs, width)] by position: an arc is (letters, cost, characters it consumes)."""
-    arcs, n = [], len(word)
-    for at, char in enumerate(word):
-        run = 1
-        while at + run < n and word[at + run] == char:
-            run += 1
-        here = []
-        if char.isalpha():
-            here.append((char, 0.0, 1))
-            if run > 1:
-                # A run is one letter, or two, or what it says.
-                here.append((char, FOLD_COST, run))
-                if run > 2:
-                    here.append((char + char, FOLD_COST, run))
-                    here[0] = (char, KEEP_RUN_COST, 1)
-        else:
-            # A sign at the end closes a sentence more often than it hides a letter; a digit is rarely nothing.
-            if char.isdigit():
-                price = DIGIT_DROP_COST
-            elif at + run == n:
-                price = END_DROP_COST
-            else:
-                price = SIGN_DROP_COST if char in LOOKALIKES else DROP_COST
-            here.append(("", price, run))
-            here.extend((letter, STAND_COST, run) for letter in LOOKALIKES.get(char, ""))
-            if char.isdigit():
-                here.append((char, 2 * STAND_COST, 1))
-        arcs.append(here)
-    return arcs
+def _arcs(char, run, first, last, between):
+    if char.isalpha():
+        if run == 1 or char not in ALPHABET:
+            return [(char * run, 0.0)]
+        return [(char, FOLD_PAIR_COST), (char * 2, 0.0)] if run == 2 else [(char, FOLD_COST), (char * 2, FOLD_COST)]
+    if char == " ":
+        return [("", 0.0), (" ", BREAK_COST)]
+    stands = LOOKALIKES.get(char, "")
+    if run == 1:
+        arcs = [(letter, STAND_COST) for letter in stands]
+    else:
+        arcs = [(letter, STAND_COST + FOLD_COST) for letter in stands]
+        arcs += [(a + b, 2 * STAND_COST) for a in stands for b in stands]
+    if char.isdigit():
+        return [*arcs, (char * run, DIGIT_COST * run)]  # a digit is never nothing
+    # A sign at an edge closes a sentence more often than it hides a letter.
+    if last and (not stands or char in _CLOSING) or first and char in _OPENING:
+        return [("", EDGE_DROP_COST), *arcs]
+    return [("", DROP_COST if between or not stands else SIGN_DROP_COST), *arcs]
+
+
+def lattice(word: str) -> list[list[tuple[str, float]]]:
+    """The arcs (letters, cost) of each run of one character. Letters may be none, one or two, or a space for a word's end.
+    In a word with spaces each character is a part of its own."""
+    runs = [(char, sum(1 for _ in same)) for char, same in groupby(word)]
+    end = -1 if " " in word else len(runs) - 1  # spread letters have no edge signs
+    places = Counter(char for char, _ in runs)
+    return [
+        _arcs(char, run, at == 0 <= end, at == end, places[char] >= BETWEEN) for at, (char, run) in enumerate(runs)
+    ]
 
 
 def decode(word: str, model: CharModel) -> str:
-    """The best path through the word's lattice, by Viterbi over the last two characters."""
-    arcs, end = lattice(word, model), len(word)
-    layers = [{} for _ in range(end + 1)]
-    layers[0]["^^"] = (0.0, "")
+    """The best path through the word's lattice, by Viterbi over the last two characters. Paths share their
+    beginnings as linked pairs, so those that no state continues are freed."""
+    states = {"^^": (0.0, None)}
     cost_of = model.memo
-    for at in range(end):
-        states = layers[at]
-        if len(states) > BEAM:
-            states = dict(sorted(states.items(), key=lambda s: s[1][0])[:BEAM])
+    for arcs in lattice(word):
+        after = {}
+        chars = [(letters, price, [model_char(c) if c != " " else c for c in letters]) for letters, price in arcs]
         for last, (cost, made) in states.items():
-            for letters, price, width in arcs[at]:
+            for letters, price, path in chars:
                 now, total = last, cost + price
-                for letter in letters:
-                    char = model_char(letter)
-                    total += cost_of[now + char]
-                    now = now[1] + char
-                target, made_now = layers[at + width], made + letters
-                best = target.get(now)
-                if best is None or (total, made_now) < best:
-                    target[now] = (total, made_now)
-    ends = [(cost + cost_of[last + "^"], made) for last, (cost, made) in layers[end].items()]
-    return min(ends)[1] if ends else word
+                for char in path:
+                    if char == " ":
+                        total += cost_of[now + "^"]
+                        now = "^^"
+                    else:
+                        total += cost_of[now + char]
+                        now = now[1] + char
+                best = after.get(now)
+                if best is None or total < best[0]:
+                    after[now] = (total, (made, letters) if letters else made)
+        states = after
+    _, made = min(((cost + cost_of[last + "^"], made) for last, (cost, made) in states.items()), key=lambda end: end[0])
+    found = []
+    while made:
+        made, letters = made
+        found.append(letters)
+    return "".join(reversed(found))
 
 
 def restorer(model: CharModel):
-    """Function from a lower-case word to the restored one. Plain words pass unchanged, as do words longer than
-    LONGEST characters, which no channel of this kind makes from words."""
+    """Function from a lower-case word, or a run of single characters between spaces, to the restored words."""
 
     def restore(word):
-        # Three signs or more at an edge stand for nothing.
-        word = _SIGN_RUNS.sub("", word.strip(_EDGES)).strip(_EDGES)
-        if len(word) > LONGEST or not word:
-            return word
-        plain = word.isalpha()
-        doubles = [a for a, b in zip(word, word[1:]) if a == b]
-        if plain and not any(model.rare_double(c) or c * 3 in word for c in doubles):
-            return word
-        if not any(c.isalpha() for c in word):
+        if " " not in word:
+            word = _DECORATION.sub("", word.strip(_EDGES)).strip(_EDGES)
+            if word.isalpha() and not model.odd_repeats(word):
+                return word
+        if not any(map(str.isalpha, word)):
             return word  # signs and numbers alone are no hidden word
         return decode(word, model)
 
     return restore
 
 
-def joined(text: str) -> str:
-    """The text in lower case with runs of single characters made to words."""
-    text = text.lower()
-    return _ALONE.sub(lambda m: re.sub(r"[ ._*-]", "", m[0]), text) if _ALONE.search(text) else text
+def units(text: str | None) -> list[str]:
+    """The lower-case words; three or more single characters in a row are one unit with spaces inside."""
+    text = (text or "").lower()
+    if not _THREE_ALONE.search(f" {text} "):
+        return text.split()
+    found, at = [], 0
+    for run in _ALONE.finditer(text):
+        found += text[at:run.start()].split()
+        found.append(" ".join(run[0].split()))
+        at = run.end()
+    return found + text[at:].split()
+
+
+class Words(WordCache):
+    """Remembers what is made of words up to _KEPT_LENGTH."""
+
+    def __missing__(self, word):
+        return self.make(word) if len(word) > _KEPT_LENGTH else super().__missing__(word)
+
+
+class Shared:
+    """For a broadcast: `make(*data)`, which a Python worker makes once and keeps from task to task, so that its words stay
+    known. Only the data travel."""
+
+    def __init__(self, make, *data):
+        self.make, self.data, self.made = make, data, None
+
+    def __reduce__(self):
+        return Shared, (self.make, *self.data)
+
+    def get(self):
+        if self.made is None:
+            self.made = self.make(*self.data)
+        return self.made
+
+
+def _restored_words(grams):
+    return Words(restorer(CharModel(grams)))
+
+
+def _word_keys(grams):
+    restore = restorer(CharModel(grams))
+    return Words(lambda word: [feature_key(f) for f in word_features(restore(word))])
+
+
+def _word_weights(grams, weights):
+    restore = restorer(CharModel(grams))
+
+    def known(word):
+        keys = map(feature_key, word_features(restore(word)))
+        return {key: weights[key] for key in keys if key in weights} or None
+
+    return Words(known)
 
 
 def word_features(word: str) -> list[str]:
-    return [word, *("^" + word[:n] for n in BEGINNINGS if len(word) >= n)] if word else []
+    """Features of a restored word, or of several between spaces."""
+    return [f for part in word.split() for f in (part, *["^" + part[:n] for n in BEGINNINGS if len(part) >= n])]
 
 
 def feature_key(feature: str) -> int:
@@ -196,7 +262,7 @@ def character_counts(docs: DataFrame) -> DataFrame:
         words, total = Counter(), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update(w for w in (text or "").lower().split() if len(w) <= LONGEST)
+                words.update((text or "").lower().split())
                 if len(words) > limit:
                     total.update(grams(words))
                     words.clear()
@@ -214,16 +280,11 @@ def character_model(docs: DataFrame) -> dict[str, int]:
 
 def restored_features(docs: DataFrame, grams: dict[str, int]) -> DataFrame:
     """doc_id, label and the keys of the different features of the restored words."""
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(_word_keys, grams))
 
     def make():
-        restore = restorer(CharModel(shared.value))
-        keys = WordCache(lambda word: [feature_key(f) for f in word_features(restore(word))])
-
-        def each(doc_id, label, text):
-            yield doc_id, label, list({key for word in set(joined(text or "").split()) for key in keys[word]})
-
-        return each
+        keys = shared.value.get()
+        return lambda doc_id, label, text: ((doc_id, label, list({k for word in set(units(text)) for k in keys[word]})),)
 
     rows = docs.select("doc_id", "label", "text")
     return map_rows(rows, make, doc_id="long", label="double", keys="array<long>")
@@ -231,11 +292,11 @@ def restored_features(docs: DataFrame, grams: dict[str, int]) -> DataFrame:
 
 def restored_text(docs: DataFrame, grams: dict[str, int]) -> DataFrame:
     """doc_id and the restored text, its words between single spaces."""
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(_restored_words, grams))
 
     def make():
-        words = WordCache(restorer(CharModel(shared.value)))
-        return lambda doc_id, text: ((doc_id, " ".join(map(words.__getitem__, joined(text or "").split()))),)
+        words = shared.value.get()
+        return lambda doc_id, text: ((doc_id, " ".join(map(words.__getitem__, units(text)))),)
 
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, doc_id="long", text="string")
 
@@ -264,21 +325,14 @@ def fit(train: DataFrame, features: int = FEATURES, penalty: float = PENALTY):
 
 def scores(docs: DataFrame, grams: dict[str, int], intercept: float, weights: dict[int, float]) -> DataFrame:
     """doc_id and score (0 to 1) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast((grams, weights))
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(_word_weights, grams, weights))
 
     def make():
-        counts, weight = shared.value
-        restore = restorer(CharModel(counts))
-
-        def known(word):
-            found = {key: weight[key] for key in map(feature_key, word_features(restore(word))) if key in weight}
-            return found or None
-
-        words = WordCache(known)
+        words = shared.value.get()
 
         def each(doc_id, text):
             found = {}
-            for weighted in filter(None, map(words.__getitem__, set(joined(text or "").split()))):
+            for weighted in filter(None, map(words.__getitem__, set(units(text)))):
                 found.update(weighted)
             total = intercept + math.fsum(found.values())
             yield doc_id, 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
