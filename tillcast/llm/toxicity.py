@@ -246,29 +246,44 @@ def feature_key(feature: str) -> int:
 
 def character_counts(docs: DataFrame) -> DataFrame:
     """(gram, n): trigrams of the words of all documents. Each task adds up its own first."""
-    limit = 200_000
+    words_kept, chars_kept = 200_000, 1 << 24
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        def grams(words):
-            found = Counter()
-            for word, n in words.items():
-                marked = ["^", "^", *map(model_char, word), "^"]
-                for gram in zip(marked, marked[1:], marked[2:]):
-                    found["".join(gram)] += n
-            return found
-
-        words, total = Counter(), Counter()
+        letters = np.array(sorted(map(ord, " " + ALPHABET)), "<u4")
+        names = ["^", *map(chr, letters[1:]), "?"]
+        size = len(names)
+
+        def add(words, total):
+            """Adds the trigrams of these words as numbers of three digits. A space, which is in no word, marks both ends."""
+            marked = "".join([f"  {word} " for word in words])
+            points = np.frombuffer(marked.encode("utf-32-le"), "<u4")
+            at = np.searchsorted(letters, points).clip(max=size - 2)
+            code = np.where(letters[at] == points, at, size - 1)
+            length = np.fromiter(map(len, words), np.int64, len(words)) + 3
+            times = np.repeat(np.fromiter(words.values(), np.float64, len(words)), length)
+            ends = np.cumsum(length)
+            times[ends - 1] = times[ends - 2] = 0
+            total += np.bincount((code[:-2] * size + code[1:-1]) * size + code[2:], times[:-2], size**3)
+            words.clear()
+
+        words, chars, total = Counter(), 0, np.zeros(size**3)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update((text or "").lower().split())
-                if len(words) > limit:
-                    total.update(grams(words))
-                    words.clear()
-        total.update(grams(words))
+                text = (text or "").lower()
+                words.update(text.split())
+                chars += len(text)
+                if words and (len(words) > words_kept or chars > chars_kept):
+                    add(words, total)
+                    chars = 0
+        if words:
+            add(words, total)
+        found = np.flatnonzero(total)
+        grams = [names[i // size**2] + names[i // size % size] + names[i % size] for i in found.tolist()]
         yield pa.RecordBatch.from_pydict({
-            "gram": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())
+            "gram": pa.array(grams, pa.string()), "n": pa.array(total[found].astype(np.int64))
         })
 
     return docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
