@@ -5,11 +5,14 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tillcast.llm import line_quality, packing, token_counts
+from tillcast.llm.oracle import ORACLE_SQL
 
 from conftest_llm import values
 
@@ -48,26 +51,51 @@ def line_docs(spark):
     thin = [f"Subscribe NOW to our letter of {y} " + " ".join(f"promo{chr(97 + j)}" for j in range(25)) for y in range(1990, 1998)]
     rows += [(100 + i, f"{thin[0]}\n{thin[1].upper()}\nown{i} line", "news") for i in range(30)]
     rows += [(200 + i, f"{thin[0]}\n{body(200 + i)}", "blog") for i in range(5)]
-    rows += [(300 + i, body(999), None) for i in range(40)]  # copies of one text are one document
+    rows += [(300 + i, body(999), None) for i in range(40)]  # a group of copies
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
 def test_boilerplate_lines_and_depleted_documents(spark):
     docs = line_docs(spark)
     lines = line_quality.boilerplate(line_quality.measures(docs))
-    assert sorted((r.source, r.documents) for r in lines.collect()) == [("news", 30), ("news", 30)]
+    assert sorted(((r.source or "", r.documents) for r in lines.collect())) == [("", 40), ("news", 30), ("news", 30)]
     got = {r.doc_id: r for r in line_quality.quality_rules(docs).collect()}
+    assert all(not got[300 + i].kept and not got[300 + i].base_failed for i in range(40))
+    # Where copies of one text count once, they stay.
+    got = {r.doc_id: r for r in line_quality.quality_rules(docs, distinct_texts=True).collect()}
+    lines = line_quality.boilerplate(line_quality.measures(docs), distinct_texts=True)
+    assert [(r.source, r.documents) for r in lines.collect()] == [("news", 30), ("news", 30)]
     assert all(got[i].kept and got[i].n_boilerplate_words == 3 for i in range(30))  # "home page 000" is common
     assert all(not got[100 + i].kept and not got[100 + i].base_failed for i in range(30))
     assert all(got[200 + i].kept for i in range(5))  # another host
     assert all(got[300 + i].kept and got[300 + i].n_boilerplate_words == 0 for i in range(40))
-    left = line_quality.keep_documents(docs)
+    left = line_quality.keep_documents(docs, distinct_texts=True)
     assert left.columns == docs.columns and left.count() == len(got) - 30
+    assert line_quality.keep_documents(docs).count() == len(got) - 70
     clean = {r.doc_id: r.text for r in line_quality.without_boilerplate(docs, lines).collect()}
     assert clean[100] == "own0 line" and clean[3].startswith("sentence3x0") and "Home" not in clean[3]
     assert clean[200].startswith("Subscribe") and clean[300].count("\n") == 4
 
 
+docs_schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("source", pa.string())])
+
+
+def test_sql_agrees_where_lines_are_above_limits(spark):
+    """Boilerplate of hosts with and without a name, copies, long lines, repeated rows and rows without doc_id."""
+    long = " ".join(f"long{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(60))
+    more = [(400 + i, f"{long}\nown{i} words", "blog") for i in range(25)]
+    more += [(500, f"{long}\nrepeated", "wiki")] * 30 + [(None, f"{long}\nnameless", "home")] * 30
+    docs = line_docs(spark).union(spark.createDataFrame(more, "doc_id long, text string, source string"))
+    with duckdb.connect() as db:
+        db.register("documents", pa.Table.from_pylist([r.asDict() for r in docs.collect()], docs_schema))
+        want = db.sql(ORACLE_SQL["op5_line_quality"])
+        names, want = want.columns, want.fetchall()
+    got = [tuple(r) for r in line_quality.quality_rules(docs).select(*names).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    lost = Counter(r[0] for r in got if not r[names.index("kept")] and not r[names.index("base_failed")])
+    assert lost == {**{100 + i: 1 for i in range(30)}, **{300 + i: 1 for i in range(40)}, **{400 + i: 1 for i in range(25)}, None: 30}
+
+
 def test_rules_on_edges(edge_docs, no_docs):
     assert line_quality.quality_rules(no_docs).count() == line_quality.keep_documents(no_docs).count() == 0
     kept = line_quality.keep_documents(edge_docs)

@@ -4,12 +4,14 @@ Base rules look at a document alone. The method then hashes every normalised lin
 0, single spaces), counts in how many documents of its host (`source`) a line occurs, takes lines above
 the host's limit for boilerplate, and rejects documents that are depleted without them.
 
-A limit is the larger of `least` documents and `share` of the host's documents; both counts take
-documents of one text once, so copies do not turn a text into boilerplate. Lines of every length
-count. A document is depleted if less than `keep_share` of its words remain.
-
-Defined results: a null text has no words and fails the base rules. A null source is a host of its own.
-Repeated rows are returned as often as they come. Empty tables give empty tables.
+A limit is the larger of `least` documents and `share` of the host's documents. Both counts take different
+documents, that is doc_ids; with `distinct_texts` they take documents of one text once, for a caller that removes
+copies afterwards and needs one of a large group to get that far. Lines of every length count. A document is depleted
+if less than `keep_share` of its words remain.
+
+Defined results: a null text has no words and fails the base rules. A null source is a host of its own. A row
+without doc_id is a document of its own; rows of one doc_id are one. Repeated rows are returned as often as they come.
+Empty tables give empty tables.
 """
 
 from collections import Counter
@@ -93,13 +95,14 @@ def measures(docs: DataFrame) -> DataFrame:
     return cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
-def boilerplate(measured: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def boilerplate(measured: DataFrame, least: int = LEAST, share: float = SHARE, distinct_texts: bool = False) -> DataFrame:
     """(source, line, documents): lines above their host's limit."""
-    hosts = measured.select("source", "text_hash").distinct().groupBy("source").agg(
+    one = ["text_hash"] if distinct_texts else ["doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("no_id")]
+    hosts = measured.select("source", *one).distinct().groupBy("source").agg(
         F.greatest(F.lit(float(least)), F.count(F.lit(1)) * F.lit(share)).alias("limit")
     )
     return (
-        measured.select("source", "text_hash", F.explode("line_keys").alias("line")).distinct()
+        measured.select("source", *one, F.explode("line_keys").alias("line")).distinct()
         .groupBy("source", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > least)
         .join(hosts.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host")))
         .filter("documents > limit").select("source", "line", "documents")
@@ -107,14 +110,15 @@ def boilerplate(measured: DataFrame, least: int = LEAST, share: float = SHARE) -
 
 
 def quality_rules(docs: DataFrame, least: int = LEAST, share: float = SHARE,
-                  keep_share: float = KEEP_SHARE) -> DataFrame:
+                  keep_share: float = KEEP_SHARE, distinct_texts: bool = False) -> DataFrame:
     """One row per document: the base counts, base_failed, boilerplate words, kept."""
-    return _judged(docs, least, share, keep_share).drop("row_key")
+    return _judged(docs, least, share, keep_share, distinct_texts).drop("row_key")
 
 
-def _judged(docs: DataFrame, least: int = LEAST, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
+def _judged(docs: DataFrame, least: int = LEAST, share: float = SHARE, keep_share: float = KEEP_SHARE,
+            distinct_texts: bool = False) -> DataFrame:
     measured = measures(docs)
-    lines = cut_lineage(boilerplate(measured, least, share))
+    lines = cut_lineage(boilerplate(measured, least, share, distinct_texts))
     common = lines.select(F.col("source").alias("host"), "line")
     held = measured.select(
         "row", "source", F.explode(F.arrays_zip("line_keys", "line_words")).alias("l")

@@ -26,6 +26,7 @@ ORACLE_SQL = {
     """,
     "op5_line_quality": r"""
         with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents),
+        ids as (select r, coalesce(cast(doc_id as varchar), 'row ' || r) as id from d),
         w as (select r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from d),
         windows as (select r, unnest(range(1, len(ws) - 1)) as i, ws from w where len(ws) > 2),
         grams as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from windows),
@@ -36,9 +37,9 @@ ORACLE_SQL = {
                 '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
         dups as (select r, count(*) - count(distinct line) as n from worded group by r),
         keyed as (select r, source, text, array_to_string(ws, ' ') as key, len(ws) as n from worded),
-        hosts as (select source, greatest(20.0, 0.02 * count(distinct text)) as most from d group by source),
-        boiler as (select k.source, k.key from keyed k join hosts h on k.source is not distinct from h.source
-                group by k.source, k.key, h.most having count(distinct k.text) > h.most),
+        hosts as (select source, greatest(20.0, 0.02 * count(distinct id)) as most from d join ids using (r) group by source),
+        boiler as (select k.source, k.key from keyed k join ids on k.r = ids.r join hosts h on k.source is not distinct from h.source
+                group by k.source, k.key, h.most having count(distinct ids.id) > h.most),
         removed as (select k.r, sum(k.n) as n from keyed k join boiler b
                 on k.source is not distinct from b.source and k.key = b.key group by k.r),
         m as (select d.r, d.doc_id, len(w.ws) as n_words,
