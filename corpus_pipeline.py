@@ -7,8 +7,9 @@ from tillcast.session import shared_folder
 
 
 def quality_stage(spark, docs, sf_dir):
-    """Documents that the quality rules reject go; the others stay as they are."""
-    return line_quality.keep_documents(docs)
+    """Documents that the quality rules reject go; the others stay as they are. Texts count once for a line, or a large group of
+    copies would be rejected before exact dedup keeps one of it."""
+    return line_quality.keep_documents(docs, distinct_texts=True)
 
 
 def exact_dedup_stage(spark, docs, sf_dir):
