@@ -24,3 +24,29 @@ def test_stage_without_toxic_or_low_documents_keeps_nearly_all(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
     spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.mixing_stage(spark, docs, str(tmp_path)).count() > 290
+
+
+def test_rows_without_or_with_shared_doc_id_follow_their_own_text(spark):
+    """Toxic rows are thinned out, whatever their doc_id."""
+    body = {k: lambda i, k=k: " ".join(f"{k}{(i * 7 + j) % 40}" for j in range(60)) for k in ("kind", "nasty")}
+    rows = [(i, "s", body["kind"](i) + f" own{i}") for i in range(400)] + [(1000 + i, "s", body["nasty"](i) + f" own{i}") for i in range(200)]
+    rows += [(None, "s", body["kind"](i) + f" last{i}") for i in range(100)] + [(None, "s", body["nasty"](i) + f" end{i}") for i in range(100)]
+    rows += [(5000, None, body["kind"](i) + f" more{i}") for i in range(50)] + [(5000, None, body["nasty"](i) + f" more{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(400)] + [(1000 + i, 1, 1) for i in range(200)], "doc_id long, quality int, toxic int"
+    )
+    kept = mixing.mixed_documents(docs, labels, most=1.0, whole="clean").collect()
+    assert {tuple(r) for r in kept} <= set(rows)
+    count = lambda word, test: sum(r.text.startswith(word) and test(r.doc_id) for r in kept)
+    assert count("kind", lambda i: i is None) > 95 and count("nasty", lambda i: i is None) < 30
+    assert count("kind", lambda i: i == 5000) > 45 and count("nasty", lambda i: i == 5000) < 15
+
+
+def test_only_copies_share_a_copy_key(spark):
+    text = lambda i: " ".join(f"{'frequentword' if j % 9 == 0 else 'lengthyword'}{(i * 31 + j * j) % 997}" for j in range(300))
+    rows = [(i, text(i)) for i in range(200)] + [(i, text(i) + " end") for i in range(200)]
+    keys = spark.createDataFrame(rows, "i long, text string").select("i", mixing._copy_key().alias("key")).collect()
+    assert len({r.key for r in keys}) == 200 and len({(r.i, r.key) for r in keys}) == 200
+    empty = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "i long, text string").select(mixing._copy_key()).collect()
+    assert empty[0] == empty[1] != empty[2]

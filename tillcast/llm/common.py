@@ -54,6 +54,13 @@ def map_rows(df: DataFrame, make, batched: bool = False, **columns: str) -> Data
     return df.mapInArrow(run, ", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
 
 
+def row_key():
+    """Hash of doc_id, source and text: what a decision about a row depends on. Rows of one key have one decision;
+    doc_id spreads the copies of a text."""
+    parts = [F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text")]
+    return F.xxhash64(*[part.isNull() for part in parts], *parts)
+
+
 class WordCache(dict):
     """Remembers `make(word)`. It is emptied when it holds `most` words, so that its memory is bounded;
     results do not depend on it."""

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import fresh, map_rows
+from tillcast.llm.common import fresh, map_rows, row_key
 from tillcast.session import cut_lineage
 
 MIN_WORDS = 50
@@ -73,13 +73,6 @@ def measure(text: str | None):
             xxhash.xxh64_intdigest(data, 1) - (1 << 63), list(lines), list(lines.values()))
 
 
-def _row_key():
-    """Hash of all that a decision depends on, and of doc_id, so that copies of a text are spread: rows of one key
-    have one decision."""
-    parts = [F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text")]
-    return F.xxhash64(*[part.isNull() for part in parts], *parts).alias("row_key")
-
-
 def measures(docs: DataFrame) -> DataFrame:
     """The counts and lines of every row, under a row number `row`, evaluated once."""
 
@@ -88,7 +81,7 @@ def measures(docs: DataFrame) -> DataFrame:
         return lambda doc_id, source, key, text: ((doc_id, source, key, *count(text)),)
 
     rows = map_rows(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), _row_key(), "text"), make,
+        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), row_key().alias("row_key"), "text"), make,
         doc_id="long", source="string", row_key="long", n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long",
         n_repeat_words="long", text_hash="long", line_keys="array<long>", line_words="array<long>",
     )
@@ -168,4 +161,4 @@ def keep_documents(docs: DataFrame, **limits) -> DataFrame:
     """The rows of `docs` that the rules keep, unchanged, each by its own text and host, with or without doc_id."""
     key = fresh(docs, "row_key")
     kept = _judged(docs, **limits).filter("kept").select(F.col("row_key").alias(key))
-    return docs.withColumn(key, _row_key()).join(kept, key, "left_semi").select(*docs.columns)
+    return docs.withColumn(key, row_key()).join(kept, key, "left_semi").select(*docs.columns)

@@ -12,18 +12,18 @@
 
    and step size one is exact: the Hessian's largest eigenvalue is one. Each step moves one
    sum per domain to the driver and leaves documents where they are.
-3. A rate becomes copies: its whole part, and one more if a hash of the doc_id is below the rest.
+3. A rate becomes copies: its whole part, and one more if a hash of the doc_id (without one, of the row) is below the rest.
 
 Defined results: a null text has no tokens and no features, and moves no total. Labels without
 a matching document, or null, are not learned from; without any label all posteriors are equal. A domain of which
-the documents have no tokens is left out of the targets. Repeated rows have equal rates. Null doc_ids are hashed as
-one value. Empty tables give empty tables.
+the documents have no tokens is left out of the targets. Repeated rows have equal rates. Rows of one doc_id, and rows
+without one, have each the rate of their own text. Empty tables give empty tables.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import fresh
+from tillcast.llm.common import fresh, row_key
 from tillcast.session import cut_lineage
 
 DOMAINS = ("clean", "low", "toxic")
@@ -61,11 +61,13 @@ def _featured(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def _copy_key():
-    """The smallest hash of a text's long words: near copies mostly share it and count as one in training, or every
-    word of a text with many copies would look typical of its domain."""
+    """Three smallest hashes of a text's long words, each by a hash of its own: near copies mostly share all three and count
+    as one in training, or every word of a text with many copies would look typical of its domain. Different texts may share
+    a frequent word of small hash, hardly three."""
     text = F.lower(F.coalesce("text", F.lit("")))
     long = F.filter(F.split(text, _WORDS), lambda w: F.length(w) > 8)
-    return F.coalesce(F.array_min(F.transform(long, lambda w: F.xxhash64(w))), F.xxhash64(text))
+    least = [F.array_min(F.transform(long, lambda w, salt=salt: F.xxhash64(w, F.lit(salt)))) for salt in range(3)]
+    return F.when(F.size(long) > 0, F.xxhash64(*least)).otherwise(F.xxhash64(text))
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
@@ -111,23 +113,23 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES) -> DataFrame:
-    """One row per document, evaluated once: doc_id, source, tokens, p_<domain>."""
+    """One row per document, evaluated once: doc_id, source, row_key, tokens, p_<domain>."""
     model = cut_lineage(train(docs, labels, labelled_rows, features))
     base, none = (model.filter(F.col("kind") == kind).first() for kind in ("prior", "none"))
     gains = model.filter("kind = 'feature'").select("bucket", *[F.col(d).alias(f"gain_{d}") for d in DOMAINS])
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
-        F.monotonically_increasing_id().alias("row"),
+        row_key().alias("row_key"), F.monotonically_increasing_id().alias("row"),
     )
     found = (
-        _featured(keyed, "row", "doc_id", "source").join(F.broadcast(gains), "bucket", "left")
-        .groupBy("row", "doc_id", "source", "tokens")
+        _featured(keyed, "row", "doc_id", "source", "row_key").join(F.broadcast(gains), "bucket", "left")
+        .groupBy("row", "doc_id", "source", "row_key", "tokens")
         .agg(*[(F.coalesce(F.sum(f"gain_{d}"), F.lit(none[d])) + F.lit(base[d])).alias(d) for d in DOMAINS])
     )
     most = F.greatest(*[F.col(d) for d in DOMAINS])
     powers = {d: F.exp(F.col(d) - most) for d in DOMAINS}
     every = sum(powers.values(), F.lit(0.0))
-    return cut_lineage(found.select("doc_id", "source", "tokens", *[(powers[d] / every).alias(f"p_{d}") for d in DOMAINS]))
+    return cut_lineage(found.select("doc_id", "source", "row_key", "tokens", *[(powers[d] / every).alias(f"p_{d}") for d in DOMAINS]))
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float] | None = None, total_tokens: float | None = None,
@@ -171,7 +173,7 @@ def fit_rates(scored: DataFrame, targets: dict[str, float] | None = None, total_
 
 
 def _copies(rate):
-    dice = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mixing")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    dice = F.pmod(F.xxhash64(F.coalesce("doc_id", "row_key"), F.lit("mixing")), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return F.floor(rate + dice).cast("long")
 
 
@@ -179,17 +181,21 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
             most: float | None = None, labelled_rows: int = LABELLED_ROWS, features: int = FEATURES,
             whole: str | None = None) -> DataFrame:
     """One row per document: doc_id, source, tokens, p_<domain>, rate, copies."""
+    return _mixture(docs, labels, targets, total_tokens, most, labelled_rows, features, whole).drop("row_key")
+
+
+def _mixture(docs, labels, targets=None, total_tokens=None, most=None, labelled_rows=LABELLED_ROWS, features=FEATURES,
+             whole=None):
     scored = posteriors(docs, labels, labelled_rows, features)
     rate, _ = fit_rates(scored, targets, total_tokens, most, whole=whole)
     return scored.withColumn("rate", rate).withColumn("copies", _copies(F.col("rate")))
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, as often as their copies say. Rows of one doc_id follow the largest of its
-    rates; rows without doc_id have no label or decision of their own and stay once."""
-    times = fresh(docs, "mix_times")
-    chosen = mixture(docs, labels, **options).groupBy("doc_id").agg(F.max("copies").alias(times)).filter(F.col(times) > 0)
-    kept = docs.filter("doc_id is not null").join(chosen, "doc_id").withColumn(
-        times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
+    """The rows of `docs`, as often as their copies say, each by its own text, with or without doc_id."""
+    key, times = fresh(docs, "row_key"), fresh(docs, "mix_times")
+    chosen = _mixture(docs, labels, **options).filter("copies > 0").groupBy(F.col("row_key").alias(key)).agg(
+        F.max("copies").alias(times)
     )
-    return kept.select(*docs.columns).union(docs.filter("doc_id is null").select(*docs.columns))
+    kept = docs.withColumn(key, row_key()).join(chosen, key)
+    return kept.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
