@@ -29,12 +29,12 @@ def test_stage_without_toxic_or_low_documents_keeps_nearly_all(spark, tmp_path):
 def test_rows_without_or_with_shared_doc_id_follow_their_own_text(spark):
     """Toxic rows are thinned out, whatever their doc_id."""
     body = {k: lambda i, k=k: " ".join(f"{k}{(i * 7 + j) % 40}" for j in range(60)) for k in ("kind", "nasty")}
-    rows = [(i, "s", body["kind"](i) + f" own{i}") for i in range(400)] + [(1000 + i, "s", body["nasty"](i) + f" own{i}") for i in range(200)]
+    rows = [(i, "s", body["kind"](i) + f" own{i}") for i in range(400)] + [(1000 + i, "s", body["nasty"](i) + f" own{i}") for i in range(40)]
     rows += [(None, "s", body["kind"](i) + f" last{i}") for i in range(100)] + [(None, "s", body["nasty"](i) + f" end{i}") for i in range(100)]
     rows += [(5000, None, body["kind"](i) + f" more{i}") for i in range(50)] + [(5000, None, body["nasty"](i) + f" more{i}") for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
     labels = spark.createDataFrame(
-        [(i, 1, 0) for i in range(400)] + [(1000 + i, 1, 1) for i in range(200)], "doc_id long, quality int, toxic int"
+        [(i, 1, 0) for i in range(400)] + [(1000 + i, 1, 1) for i in range(40)], "doc_id long, quality int, toxic int"
     )
     kept = mixing.mixed_documents(docs, labels, most=1.0, whole="clean").collect()
     assert {tuple(r) for r in kept} <= set(rows)
