@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from tillcast.plans import adapters as ad
+from tillcast.plans import catalog
 
 FIRST = datetime(1995, 1, 1)
 # Order, customer, day of the matrix (1 is its first); days outside of it and orders without one or without a customer.
@@ -68,3 +69,13 @@ def test_no_aggregate_holds_all_days_of_an_item(spark, star):
     for line in plan.splitlines():
         if "Aggregate(" in line:
             assert len(line) < 1000 and "d_2" not in line
+
+
+def test_matrix_files_are_dealt_without_a_sort(spark, wide, tmp_path):
+    """As many files as tasks run at a time; each has the header, and the rows come back."""
+    folder = catalog._csv(wide, str(tmp_path / "csv"), "item_id")
+    files = list((tmp_path / "csv").glob("part-*"))
+    assert 1 < len(files) <= spark.sparkContext.defaultParallelism
+    assert all(f.read_text().startswith("item_id,store_id,cat_id,d_1,") for f in files)
+    back = spark.read.schema(wide.schema).option("header", True).csv(folder)
+    assert back.count() == wide.count() and back.exceptAll(wide).count() == 0
