@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from tillcast.operators import reshape
 from tillcast.plans import adapters as ad
 from tillcast.plans import catalog
 
@@ -79,3 +80,26 @@ def test_matrix_files_are_dealt_without_a_sort(spark, wide, tmp_path):
     assert all(f.read_text().startswith("item_id,store_id,cat_id,d_1,") for f in files)
     back = spark.read.schema(wide.schema).option("header", True).csv(folder)
     assert back.count() == wide.count() and back.exceptAll(wide).count() == 0
+
+
+def test_cells_meet_the_calendar_without_a_shuffle(spark, star):
+    """The calendar is as small as its days, however many orders it is made from."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50k")
+    try:
+        cells = spark.range(1000).selectExpr("'a' as item_id", "concat('d_', id) as d", "id as units_sold")
+        joined = reshape.attach_calendar(cells, reshape.calendar_with_d(ad.calendar(spark, star)))
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [d#" in plan and "SortMergeJoin [d#" not in plan
+        assert joined.count() == 1000 and joined.filter("date is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_calendar_days(spark, star):
+    rows = {r.date: r for r in ad.calendar(spark, star).collect()}
+    assert len(rows) == 2405 and min(rows) == "1995-01-01" and max(rows) == "2001-08-01"
+    known = {n for o, _, n in ORDERS if o % 2 and o % 7 == 0} | {i % 2400 + 1 for i in range(20000) if i % 2 and (1000 + i) % 7 == 0}
+    days = {(FIRST + timedelta(n - 1)).strftime("%Y-%m-%d") for n in known if n}
+    assert {d for d, r in rows.items() if r.event_name_1 == "Event"} == days
+    assert {r.snap_CA for d, r in rows.items() if int(d[-2:]) <= 10} == {1}
