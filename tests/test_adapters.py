@@ -1,5 +1,6 @@
 """The sales matrix and the calendar as they are derived from rows made here."""
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -72,6 +73,30 @@ def test_no_aggregate_holds_all_days_of_an_item(spark, star):
             assert len(line) < 1000 and "d_2" not in line
 
 
+def _exchanges(plan):
+    """Exchanges of line items, their sums and the orders that meet them: keys and number of partitions."""
+    found = re.findall(r"hashpartitioning\(([^()]*), (\d+)\)", plan)
+    return [(re.sub(r"#\d+L?", "", keys), int(n)) for keys, n in found if re.search("l_orderkey|l_suppkey|o_orderkey", keys)]
+
+
+@pytest.mark.parametrize("rows, tasks", [(1, len(LINES)), (1000, 8)])
+def test_tasks_of_the_matrix_grow_with_the_line_items(spark, star, monkeypatch, rows, tasks):
+    """Partitions whose number the session fixes, or that grow up to its advisory size, made a task's memory grow with the tables."""
+    monkeypatch.setattr(ad, "TASK_ROWS", rows, raising=False)
+    matrix = ad._pivoted(spark, star)
+    plan = matrix._jdf.queryExecution().executedPlan().toString()
+    assert _exchanges(plan) and {n for _, n in _exchanges(plan)} == {tasks}
+    assert sorted(keys for keys, _ in _exchanges(plan)) == [
+        "l_orderkey", "l_orderkey, l_suppkey", "l_suppkey, r_name", "l_suppkey, r_name, day", "o_orderkey",
+    ]
+    # No line is summed before it is dealt: the sums would be those of a whole file split.
+    lines = plan.splitlines()
+    dealt = next(i for i, line in enumerate(lines) if re.search(r"hashpartitioning\(l_orderkey#\d+L, l_suppkey", line))
+    read = next(i for i, line in enumerate(lines) if i > dealt and "FileScan" in line)
+    assert not any("Aggregate" in line for line in lines[dealt:read])
+    assert matrix.count() == ad.sales_wide(spark, star).count()
+
+
 def test_matrix_files_are_dealt_without_a_sort(spark, wide, tmp_path):
     """As many files as tasks run at a time; each has the header, and the rows come back."""
     folder = catalog._csv(wide, str(tmp_path / "csv"), "item_id")
